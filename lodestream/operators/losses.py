@@ -45,7 +45,9 @@ def inbatch_softmax(
     cut = rows.join(blocks, "batch_id").withColumn("blk", F.pmod(F.xxhash64("row_id"), "nb").cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
     left = cut.select("batch_id", "row_id", "q", F.col("blk").alias("lblk"), every.alias("rblk"))
-    right = cut.select("batch_id", "row_id", "p", F.col("blk").alias("rblk"), every.alias("lblk"))
+    right = cut.select(
+        F.col("batch_id").alias("batch_r"), F.col("row_id").alias("row_r"), "p", every.alias("lblk_r"), F.col("blk").alias("rblk_r")
+    )
     schema = "batch_id bigint, row_id bigint, m double, s double, own double"
 
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -55,7 +57,7 @@ def inbatch_softmax(
             logits = scale * (_matrix(a.column("q")) @ _matrix(b.column("p")).T)
             m = logits.max(axis=1)
             s = np.exp(logits - m[:, None]).sum(axis=1)
-            same = ids[:, None] == b.column("row_id").to_numpy()[None, :]
+            same = ids[:, None] == b.column("row_r").to_numpy()[None, :]
             own = np.where(same.any(axis=1), (logits * same).sum(axis=1), np.nan)
         else:
             ids = ids[:0]
@@ -65,8 +67,8 @@ def inbatch_softmax(
              "own": pa.array(own, pa.float64(), from_pandas=True)}
         )
 
-    keys = ["batch_id", "lblk", "rblk"]
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, schema)
+    cells = left.groupBy("batch_id", "lblk", "rblk").cogroup(right.groupBy("batch_r", "lblk_r", "rblk_r"))
+    parts = cells.applyInArrow(cell, schema)
     merged = parts.groupBy("batch_id", "row_id").agg(
         F.max("m").alias("top"), F.collect_list(F.struct("m", "s")).alias("parts"), F.max("own").alias("own")
     )

@@ -65,7 +65,7 @@ def rewrite(words: Column, units: Column) -> Column:
         .otherwise(F.concat(w, F.lit(" "))),
     )
     marked = F.array_join(pieces, "")
-    joined = F.regexp_replace(marked, f"([^ {_MARK}]+){_MARK}([^ {_MARK}]+)", "$1_$2")
+    joined = F.regexp_replace(marked, f"(?<![^ {_MARK}])([^ {_MARK}]++){_MARK}([^ {_MARK}]++)", "$1_$2")
     return F.translate(joined, _MARK, " ")
 
 
