@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestream.operators import telemetry
-from lodestream.operators.histogram import LATENCY_BOUNDS, bucket_array, bucket_columns, quantile
+from lodestream.operators.histogram import LATENCY_BOUNDS, bucket_counts, bucket_columns, quantile
 
 TICK_SECONDS = 30
 KEYS = ("alertname", "endpoint", "action")
@@ -79,7 +79,7 @@ def metric_ticks(events: DataFrame, length: str = "5 minutes") -> DataFrame:
          **bucket_columns(F.col("duration_s"), LATENCY_BOUNDS)},
         length,
     ).withColumns(
-        {"error_rate": F.col("failed") / F.col("n"), "latency_p95": quantile(bucket_array(LATENCY_BOUNDS), LATENCY_BOUNDS, 0.95)}
+        {"error_rate": F.col("failed") / F.col("n"), "latency_p95": quantile(bucket_counts(LATENCY_BOUNDS), LATENCY_BOUNDS, 0.95)}
     )
     latest = F.max(F.struct("ts", "event_id", "dimension"))
     per_endpoint = telemetry.sliding(
@@ -161,16 +161,20 @@ def episodes(true_ticks: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFra
 
 
 def transitions(runs: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
-    """Rows (…, status, starts_at, at, value) for pending, firing, resolved."""
+    """Rows (…, status, starts_at, changed_at, value) for pending, firing, resolved."""
     step = F.expr(f"INTERVAL {tick_seconds} SECONDS")
-    row = lambda status, at, value: F.struct(F.lit(status).alias("status"), at.alias("at"), value.alias("value"))
+    row = lambda status, at, value: F.struct(
+        F.lit(status).alias("status"), at.alias("changed_at"), value.alias("value")
+    )
     changes = F.array(
         row("pending", F.col("started"), F.col("start_value")),
         row("firing", F.col("fired"), F.col("fire_value")),
         row("resolved", F.when(F.col("fired").isNotNull(), F.col("last_true") + step), F.col("last_value")),
     )
     meta = [c for c in ("severity", "category", "summary", "description") if c in runs.columns]
-    return runs.select(*KEYS, *meta, F.col("started").alias("starts_at"), F.inline(changes)).where(F.col("at").isNotNull())
+    return runs.select(*KEYS, *meta, F.col("started").alias("starts_at"), F.inline(changes)).where(
+        F.col("changed_at").isNotNull()
+    )
 
 
 def absences(events: DataFrame, limit_seconds: int = 120, tick_seconds: int = TICK_SECONDS) -> DataFrame:

@@ -25,8 +25,8 @@ def bucket_columns(value: Column, bounds: Sequence[float], prefix: str = "le") -
     return counts
 
 
-def bucket_array(bounds: Sequence[float], prefix: str = "le") -> Column:
-    return F.array(*[F.col(f"{prefix}_{i}").cast("double") for i in range(len(bounds) + 1)])
+def bucket_counts(bounds: Sequence[float], prefix: str = "le") -> list[Column]:
+    return [F.col(f"{prefix}_{i}").cast("double") for i in range(len(bounds) + 1)]
 
 
 def bucket_labels(bounds: Sequence[float]) -> list[str]:
@@ -52,23 +52,25 @@ def long_buckets(counted: DataFrame, bounds: Sequence[float], keep: Sequence[str
     return counted.select(*keep, F.inline(rows))
 
 
-def quantile(counts: Column, bounds: Sequence[float], q: float) -> Column:
+def quantile(counts: Sequence[Column], bounds: Sequence[float], q: float) -> Column:
     """Linear interpolation inside the first bucket that reaches q·n.
 
     The first bucket starts at 0 (or is the point of its bound when that is
     not positive), the +Inf bucket answers the last finite bound, an empty
-    histogram answers null.
+    histogram answers null. A chain of comparisons over the bucket columns, so
+    it compiles into the aggregation's own stage.
     """
-    edges = F.array(*[F.lit(float(b)) for b in bounds])
-    target = F.element_at(counts, -1) * q
-    at = F.array_position(F.transform(counts, lambda c: c >= target), True).cast("int")
-    upper, here = F.try_element_at(edges, at), F.try_element_at(counts, at)
-    lower = F.coalesce(F.get(edges, at - 2), F.lit(0.0))
-    below = F.coalesce(F.get(counts, at - 2), F.lit(0.0))
-    inside = lower + (upper - lower) * F.coalesce(F.try_divide(target - below, here - below), F.lit(0.0))
-    return (
-        F.when(F.element_at(counts, -1) == 0, F.lit(None).cast("double"))
-        .when(at > len(bounds), F.lit(float(bounds[-1])))
-        .when((at == 1) & (upper <= 0), upper)
-        .otherwise(inside)
-    )
+    total = counts[-1]
+    target = total * q
+    out = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        upper = float(bounds[i])
+        lower = float(bounds[i - 1]) if i else 0.0
+        below = counts[i - 1] if i else F.lit(0.0)
+        if i == 0 and upper <= 0:
+            inside = F.lit(upper)
+        else:
+            share = F.coalesce(F.try_divide(target - below, counts[i] - below), F.lit(0.0))
+            inside = F.lit(lower) + F.lit(upper - lower) * share
+        out = F.when(counts[i] >= target, inside).otherwise(out)
+    return F.when(total > 0, out)

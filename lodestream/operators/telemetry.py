@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.operators.histogram import LATENCY_BOUNDS, bucket_array, bucket_columns, long_buckets, quantile
+from lodestream.operators.histogram import LATENCY_BOUNDS, bucket_counts, bucket_columns, long_buckets, quantile
 
 STEP = "30 seconds"
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -122,7 +122,7 @@ def latency_quantiles(
 ) -> DataFrame:
     points = points or {"p50": 0.50, "p95": 0.95, "p99": 0.99}
     counted = sliding(events, ["endpoint", "action"], bucket_columns(F.col(value), bounds), length)
-    counts = bucket_array(bounds)
+    counts = bucket_counts(bounds)
     return counted.select(
         "window_start", "window_end", "endpoint", "action", *[quantile(counts, bounds, q).alias(n) for n, q in points.items()]
     )
@@ -136,10 +136,15 @@ def exact_quantiles(events: DataFrame, by: Sequence[str], value: str = "duration
 
 
 def bucket_rates(
-    events: DataFrame, value: str, bounds: Sequence[float], by: Sequence[str] = ("endpoint",), length: str = "5 minutes"
+    events: DataFrame,
+    value: str,
+    bounds: Sequence[float],
+    by: Sequence[str] = ("endpoint",),
+    length: str = "5 minutes",
+    step: str = STEP,
 ) -> DataFrame:
     """Per-second rate of every bucket, long form (panels and heat maps)."""
-    counted = sliding(events, list(by), bucket_columns(F.col(value), bounds), length)
+    counted = sliding(events, list(by), bucket_columns(F.col(value), bounds), length, step)
     rows = long_buckets(counted, bounds, ["window_start", "window_end", *by])
     return rows.withColumn("rate", F.col("bucket_count") / seconds_of(length)).drop("bucket_count")
 

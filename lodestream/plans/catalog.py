@@ -1,6 +1,6 @@
 """All checked queries in one place."""
 
-from lodestream.plans import catalog_data, catalog_pairs, catalog_retrieval  # noqa: F401
+from lodestream.plans import catalog_data, catalog_pairs, catalog_retrieval, catalog_telemetry  # noqa: F401
 from lodestream.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
