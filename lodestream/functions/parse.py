@@ -7,6 +7,7 @@ import ast
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _JSON = {"allowSingleQuotes": "true"}
 
@@ -15,7 +16,7 @@ _JSON = {"allowSingleQuotes": "true"}
 _NOT_PLAIN = r"\\|^.+[\[{]|[\[,]\s*(true|false|null|NaN|-?Infinity)\s*[,\]]"
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _literal_list(texts: pd.Series) -> pd.Series:
     def parse(text):
         if text is None:
