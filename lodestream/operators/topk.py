@@ -202,14 +202,3 @@ def exact_topk(
     else:
         q = q.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
     return _final_rank(_grid(q, c, q_cells, c_cells, k, exclude_self), k)
-
-
-def exact_topk_sql(queries: DataFrame, corpus: DataFrame, k: int, *, exclude_self: bool = False) -> DataFrame:
-    """Declarative twin for checking the kernels on small fixtures only."""
-    from lodestream.functions.vector import dot
-
-    on = F.col("qid") != F.col("cid") if exclude_self else F.lit(True)
-    pairs = queries.select("qid", F.col("embedding").alias("qv")).join(
-        corpus.select("cid", F.col("embedding").alias("cv")), on
-    )
-    return _final_rank(pairs.select("qid", "cid", F.round(dot(F.col("qv"), F.col("cv")), 9).alias("score")), k)

@@ -1,8 +1,22 @@
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lodestream.operators.topk import exact_topk, exact_topk_sql
+from lodestream.functions.vector import dot
+from lodestream.operators.topk import exact_topk
+
+
+def exact_topk_sql(queries, corpus, k, exclude_self=False):
+    """Every pair, for small fixtures only: what the kernels must equal."""
+    pairs = queries.select("qid", F.col("embedding").alias("qv")).crossJoin(
+        corpus.select("cid", F.col("embedding").alias("cv"))
+    )
+    if exclude_self:
+        pairs = pairs.where("qid <> cid")
+    scored = pairs.select("qid", "cid", F.round(dot(F.col("qv"), F.col("cv")), 9).alias("score"))
+    order = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def rows(df):
