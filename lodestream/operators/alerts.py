@@ -81,21 +81,20 @@ def metric_ticks(events: DataFrame, length: str = "5 minutes") -> DataFrame:
     ).withColumns(
         {"error_rate": F.col("failed") / F.col("n"), "latency_p95": quantile(bucket_counts(LATENCY_BOUNDS), LATENCY_BOUNDS, 0.95)}
     )
-    latest = F.max(F.struct("ts", "event_id", "dimension"))
     per_endpoint = telemetry.sliding(
         events,
         ["endpoint"],
         {"n": F.count("*"), "inference": F.sum("inference_s"), "inferences": F.count("inference_s"),
-         "cost": F.sum("cost"), "latest": latest, "score_min": F.min("score"), "score_max": F.max("score"),
+         "cost": F.sum("cost"), "seen": F.max("ts"), "last_dimension": F.max_by("dimension", "ts"), "score_min": F.min("score"), "score_max": F.max("score"),
          "s": F.sum("score"), "ss": F.sum(F.col("score") * F.col("score")), "scores": F.count("score")},
         length,
-        merge={"latest": "max", "score_min": "min", "score_max": "max"},
+        merge={"seen": F.max, "last_dimension": lambda c: F.max_by(c, "seen"), "score_min": F.min, "score_max": F.max},
     ).withColumns(
         {
             "action": F.lit(""),
             "inference_mean": F.try_divide(F.col("inference"), F.col("inferences")),
             "cost_per_1k": 1000 * F.col("cost") / F.col("n"),
-            "dimension": F.col("latest.dimension").cast("double"),
+            "dimension": F.col("last_dimension").cast("double"),
             "score_stddev": F.sqrt(
                 F.greatest(F.col("ss") / F.col("scores") - F.pow(F.col("s") / F.col("scores"), F.lit(2)), F.lit(0.0))
             ),

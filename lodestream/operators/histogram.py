@@ -62,15 +62,17 @@ def quantile(counts: Sequence[Column], bounds: Sequence[float], q: float) -> Col
     """
     total = counts[-1]
     target = total * q
-    out = F.lit(float(bounds[-1]))
-    for i in reversed(range(len(bounds))):
-        upper = float(bounds[i])
-        lower = float(bounds[i - 1]) if i else 0.0
-        below = counts[i - 1] if i else F.lit(0.0)
-        if i == 0 and upper <= 0:
-            inside = F.lit(upper)
-        else:
-            share = F.coalesce(F.try_divide(target - below, counts[i] - below), F.lit(0.0))
-            inside = F.lit(lower) + F.lit(upper - lower) * share
-        out = F.when(counts[i] >= target, inside).otherwise(out)
-    return F.when(total > 0, out)
+
+    def chosen(values: Sequence[Column | float], beyond: Column | float) -> Column:
+        out = F.lit(beyond)
+        for count, value in reversed(list(zip(counts[:-1], values))):
+            out = F.when(count >= target, value).otherwise(out)
+        return out
+
+    edges = [float(b) for b in bounds]
+    starts = [min(0.0, edges[0]), *edges[:-1]] if edges[0] > 0 else edges[:1] + edges[:-1]
+    width = [upper - lower for lower, upper in zip(starts, edges)]
+    below = chosen([F.lit(0.0), *counts[:-2]], 0.0)
+    inside = chosen(list(counts[:-1]), 0.0) - below
+    share = F.when(inside > 0, (target - below) / inside).otherwise(0.0)
+    return F.when(total > 0, chosen(starts, edges[-1]) + chosen(width, 0.0) * share)

@@ -8,7 +8,7 @@ and a hot endpoint reaches the shuffle as one row per step and task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from lodestream.operators.histogram import LATENCY_BOUNDS, bucket_counts, bucket_columns, long_buckets, quantile
 
 STEP = "30 seconds"
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def sliding(
@@ -25,17 +24,17 @@ def sliding(
     partials: Mapping[str, Column],
     length: str,
     step: str = STEP,
-    merge: Mapping[str, str] | None = None,
+    merge: Mapping[str, Callable[[str], Column]] | None = None,
 ) -> DataFrame:
     """(window_start, window_end, by…, partials…) over windows [start, end).
 
     ``partials`` are aggregates of one step; they are merged by sum unless
-    ``merge`` names another way. A window without events has no row.
+    ``merge`` gives another aggregate. A window without events has no row.
     """
     merge = merge or {}
     stepped = events.groupBy(F.window("ts", step).alias("w"), *by).agg(*[c.alias(n) for n, c in partials.items()])
     rolled = stepped.groupBy(F.window(F.window_time("w"), length, step).alias("w"), *by).agg(
-        *[_MERGE[merge.get(n, "sum")](n).alias(n) for n in partials]
+        *[merge.get(n, F.sum)(n).alias(n) for n in partials]
     )
     return rolled.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, *partials)
 

@@ -331,7 +331,7 @@ _LINES_SQL = """
 """
 
 
-def _lines(spark, sf):
+def log_lines(spark, sf):
     level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
     return table(spark, sf, "events").select(
         F.concat(
@@ -344,7 +344,7 @@ def _lines(spark, sf):
 @query("parsed_log", _LINES_SQL)
 def parsed_log(spark, sf):
     """F11, F12."""
-    return logs.parse_lines(_lines(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return logs.parse_lines(log_lines(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestream.operators import alerts, notify, telemetry
+from lodestream.operators import alerts, notify, rerank, telemetry
 from lodestream.operators import histogram as hist
 from lodestream.plans import views
 from lodestream.plans.registry import query
@@ -178,6 +178,23 @@ def status_bands(spark, sf):
     return rows.select("endpoint", "action", F.round("error_rate", 6).alias("error_rate"), band.alias("band"))
 
 
+@query(
+    "call_outcomes",
+    f"""
+    WITH {_E} SELECT event_id, status, round(duration_s, 6) AS duration_s FROM e
+    """,
+)
+def call_outcomes(spark, sf):
+    """Status, duration and error of every handled call."""
+    calls = views.request_events(spark, sf).select(
+        "event_id",
+        F.when(F.col("status") == "error", "failed").alias("error"),
+        F.col("ts").cast("timestamp").alias("started_at"),
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.round(F.col("duration_s") * 1e6).cast("bigint")).alias("finished_at"),
+    )
+    return rerank.call_outcome(calls).select("event_id", "status", F.round("duration_s", 6).alias("duration_s"))
+
+
 # --- sliding windows -----------------------------------------------------------------
 
 

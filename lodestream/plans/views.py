@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestream.plans.registry import table
+from lodestream.session import spread
 
 SCORED_PAIRS_SQL = """
 SELECT doc_id AS pair_id, quality AS label,
@@ -49,8 +50,13 @@ def scored_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(SCORED_PAIRS_SQL.replace("FROM labels", "FROM {labels}"), labels=table(spark, sf, "labels"))
 
 
+def as_requests(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Request events of an events table or stream."""
+    return spark.sql(REQUEST_EVENTS_SQL.replace("FROM events", "FROM {events}"), events=events)
+
+
 def request_events(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(REQUEST_EVENTS_SQL.replace("FROM events", "FROM {events}"), events=table(spark, sf, "events"))
+    return as_requests(spark, table(spark, sf, "events"))
 
 
 def train_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,7 +73,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").withColumnRenamed("doc_id", "cid")
+    return spread(table(spark, sf, "documents")).withColumnRenamed("doc_id", "cid")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -43,7 +43,7 @@ def alert_changes(true_ticks: DataFrame, tick_seconds: int = 30, silence_seconds
         if state.hasTimedOut:
             changes += machine.silent(state.getCurrentWatermarkMs() // 1000, gap)
         else:
-            rows = pd.concat(list(batches))
+            rows = pd.concat([b for b in batches if len(b)])
             for at, value in sorted(zip(_seconds(rows["tick"]), rows["value"])):
                 if machine.last is None or at > machine.last:
                     changes += machine.tick(at, float(value), int(hold), gap)
@@ -66,41 +66,44 @@ def alert_changes(true_ticks: DataFrame, tick_seconds: int = 30, silence_seconds
     return keyed.applyInPandasWithState(update, _CHANGE, _ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def absence_changes(events: DataFrame, limit_seconds: int = 120, delay: str = "1 minute") -> DataFrame:
-    """An endpoint silent for the limit fires; its next event resolves it."""
+def absence_changes(events: DataFrame, limit_seconds: int = 120, tick_seconds: int = 30, delay: str = "1 minute") -> DataFrame:
+    """An endpoint silent for the limit fires; its next event resolves it.
+
+    ``events`` (endpoint, ts) carry no watermark yet: time runs in ticks here,
+    so one row per endpoint and tick reaches the keyed step.
+    """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: SparkState) -> Iterator[pd.DataFrame]:
-        last, fired = state.get if state.exists else (None, False)
+        quiet_since, fired = state.get if state.exists else (None, False)
         out = []
         if state.hasTimedOut:
             fired = True
-            out.append(("firing", last, last + limit_seconds))
+            out.append(("firing", quiet_since, quiet_since + limit_seconds))
         else:
-            times = sorted(t for rows in batches for t in _seconds(rows["ts"]))
-            for at in times:
-                if last is not None and at > last:
-                    if not fired and at - last >= limit_seconds:
-                        out.append(("firing", last, last + limit_seconds))
+            for at in sorted(t for rows in batches for t in _seconds(rows["ts"])):
+                if quiet_since is not None and at >= quiet_since:
+                    if not fired and at - quiet_since >= limit_seconds:
+                        out.append(("firing", quiet_since, quiet_since + limit_seconds))
                         fired = True
                     if fired:
-                        out.append(("resolved", last, at))
+                        out.append(("resolved", quiet_since, at))
                         fired = False
-                last = at if last is None else max(last, at)
-        state.update((last, fired))
+                quiet_since = at + tick_seconds if quiet_since is None else max(quiet_since, at + tick_seconds)
+        state.update((quiet_since, fired))
         if not fired:
-            state.setTimeoutTimestamp(max((last + limit_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max((quiet_since + limit_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             [(key[0], status, pd.Timestamp(since, unit="s"), pd.Timestamp(at, unit="s")) for status, since, at in out],
             columns=["endpoint", "status", "silent_since", "changed_at"],
         )
 
-    ticks = events.withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp"))).withWatermark("ts", delay)
-    # One row per endpoint and second reaches the keyed step.
-    thin = ticks.select("endpoint", "ts").dropDuplicates(["endpoint", "ts"])
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    ticks = events.select("endpoint", F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(tick_seconds))).alias("ts"))
+    thin = ticks.withWatermark("ts", delay).dropDuplicates(["endpoint", "ts"])
     return thin.groupBy("endpoint").applyInPandasWithState(
         update,
         "endpoint string, status string, silent_since timestamp, changed_at timestamp",
-        "last bigint, fired boolean",
+        "quiet_since bigint, fired boolean",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
@@ -122,7 +125,7 @@ def notice_stream(changes: DataFrame, delay: str = "1 minute") -> DataFrame:
         if state.hasTimedOut:
             sent += machine.until(state.getCurrentWatermarkMs() // 1000)
         else:
-            rows = pd.concat(list(batches))
+            rows = pd.concat([b for b in batches if len(b)])
             for at, member, status in sorted(zip(_seconds(rows["changed_at"]), rows["action"], rows["status"])):
                 sent += machine.until(at)
                 machine.change(at, member, status)

@@ -134,7 +134,7 @@ def test_absence(spark, tmp_path):
     stream = table_stream(spark, df, str(tmp_path / "in"), "ts", 5)
     got = spark.read.parquet(finish(stream_alerts.absence_changes(stream), tmp_path))
     text = sorted((r.endpoint, r.status, str(r.changed_at)[11:]) for r in got.collect())
-    assert text == [("a", "firing", "00:03:00"), ("a", "firing", "00:07:30"), ("a", "resolved", "00:05:00")]
+    assert text == [("a", "firing", "00:03:30"), ("a", "firing", "00:08:00"), ("a", "resolved", "00:05:00")]
 
 
 def test_log_stream(spark, tmp_path):
