@@ -13,6 +13,15 @@ from lodestream.plans import views
 from lodestream.plans.registry import query, table
 from lodestream.plans.retrieve import retrieve_and_rerank
 
+# Scores are multiples of 1e-9; a tenth of that keeps six printed digits off
+# the halves, where engines round differently.
+_NUDGE = 1e-10
+
+
+def _six(score):
+    return F.round(score + _NUDGE, 6)
+
+
 # Every vector is a query against all the others.
 _TOPK = """
     topk AS (SELECT * FROM (
@@ -43,10 +52,10 @@ def _judged(spark, sf, k=100):
     return ranking_metrics.judge_by_group(_ranking(spark, sf, k), groups), ranking_metrics.truth_sizes_by_group(groups)
 
 
-@query("topk_exact", f"WITH {_TOPK.format(k=50)} SELECT qid, cid, rank, round(score, 6) AS score FROM topk")
+@query("topk_exact", f"WITH {_TOPK.format(k=50)} SELECT qid, cid, rank, round(score + {_NUDGE}, 6) AS score FROM topk")
 def topk_exact(spark, sf):
     """J1, J5, T1, F1, W3."""
-    return _ranking(spark, sf, 50).select("qid", "cid", "rank", F.round("score", 6).alias("score"))
+    return _ranking(spark, sf, 50).select("qid", "cid", "rank", _six(F.col("score")).alias("score"))
 
 
 def _metric_sql() -> str:
@@ -116,7 +125,7 @@ def retrieval_failed_cases(spark, sf):
     "rankings_sample",
     f"""
     WITH {_TOPK.format(k=10)}
-    SELECT qid, string_agg(cid, ',' ORDER BY rank) AS cids, round(sum(score), 6) AS score_sum FROM topk
+    SELECT qid, string_agg(cid, ',' ORDER BY rank) AS cids, round(sum(score) + {_NUDGE}, 6) AS score_sum FROM topk
     WHERE qid IN (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 100) GROUP BY qid
     """,
 )
@@ -125,7 +134,7 @@ def rankings_sample(spark, sf):
     queries = views.vectors(spark, sf).select(F.col("vec_id").alias("qid"))
     rows = ranking_metrics.rankings_sample(queries, _ranking(spark, sf, 10))
     total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
-    return rows.select("qid", F.array_join("cids", ",").alias("cids"), F.round(total, 6).alias("score_sum"))
+    return rows.select("qid", F.array_join("cids", ",").alias("cids"), _six(total).alias("score_sum"))
 
 
 @query(
@@ -161,12 +170,12 @@ def _mining_input(spark, sf):
 
 @query(
     "hard_negatives",
-    f"WITH {_MINED} SELECT qid, negative_cid, neg_rank, round(score, 6) AS score FROM negatives WHERE neg_rank <= 10",
+    f"WITH {_MINED} SELECT qid, negative_cid, neg_rank, round(score + {_NUDGE}, 6) AS score FROM negatives WHERE neg_rank <= 10",
 )
 def hard_negatives(spark, sf):
     """J2, P10, W2, T2."""
     rows = mining.hard_negatives(*_mining_input(spark, sf))
-    return rows.select("qid", "negative_cid", "neg_rank", F.round("score", 6).alias("score"))
+    return rows.select("qid", "negative_cid", "neg_rank", _six(F.col("score")).alias("score"))
 
 
 @query("mined_pairs", f"WITH {_MINED} SELECT * FROM pairs")

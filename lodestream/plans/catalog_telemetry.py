@@ -227,13 +227,13 @@ def success_rate_5m(spark, sf):
 @query(
     "avg_latency_5m",
     f"""
-    WITH {_E}, {_windows(10)} SELECT window_start, window_end, endpoint, action, round(avg(duration_s), 6) AS avg_latency
+    WITH {_E}, {_windows(10)} SELECT window_start, window_end, endpoint, action, round(avg(duration_s), 9) AS avg_latency
     FROM w GROUP BY ALL
     """,
 )
 def avg_latency_5m(spark, sf):
     """R4, A31."""
-    return telemetry.average_latency(views.request_events(spark, sf)).withColumn("avg_latency", F.round("avg_latency", 6))
+    return telemetry.average_latency(views.request_events(spark, sf)).withColumn("avg_latency", F.round("avg_latency", 9))
 
 
 @query(
