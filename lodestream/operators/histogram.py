@@ -57,22 +57,20 @@ def quantile(counts: Sequence[Column], bounds: Sequence[float], q: float) -> Col
 
     The first bucket starts at 0 (or is the point of its bound when that is
     not positive), the +Inf bucket answers the last finite bound, an empty
-    histogram answers null. A chain of comparisons over the bucket columns, so
-    it compiles into the aggregation's own stage.
+    histogram answers null.
+
+    Cumulative counts ascend, so that bucket's index is how many counts lie
+    below the target. Written without branches: the shared parts are computed
+    once and the generated method stays small enough to be compiled.
     """
     total = counts[-1]
     target = total * q
-
-    def chosen(values: Sequence[Column | float], beyond: Column | float) -> Column:
-        out = F.lit(beyond)
-        for count, value in reversed(list(zip(counts[:-1], values))):
-            out = F.when(count >= target, value).otherwise(out)
-        return out
-
+    index = sum(((c < target).cast("int") for c in counts[:-1]), F.lit(0))
     edges = [float(b) for b in bounds]
-    starts = [min(0.0, edges[0]), *edges[:-1]] if edges[0] > 0 else edges[:1] + edges[:-1]
+    starts = [0.0, *edges[:-1]] if edges[0] > 0 else [edges[0], *edges[:-1]]
     width = [upper - lower for lower, upper in zip(starts, edges)]
-    below = chosen([F.lit(0.0), *counts[:-2]], 0.0)
-    inside = chosen(list(counts[:-1]), 0.0) - below
-    share = F.when(inside > 0, (target - below) / inside).otherwise(0.0)
-    return F.when(total > 0, chosen(starts, edges[-1]) + chosen(width, 0.0) * share)
+    at = lambda values, i: F.get(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), i)
+    below = F.coalesce(at(counts, index - 1), F.lit(0.0))
+    share = F.coalesce((target - below) / F.nullif(at(counts, index) - below, F.lit(0.0)), F.lit(0.0))
+    value = at([*starts, edges[-1]], index) + at([*width, 0.0], index) * share
+    return value + F.nullif(total, F.lit(0.0)) * 0
