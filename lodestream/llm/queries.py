@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, mixing, simhash
+from lodestream.llm import bin_packing, dual_tree, mil_quality, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op4_dual_tree_top_k")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return dual_tree.top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors)
+
+
 @query(
     "op5_mix_sources",
     r"""
@@ -52,6 +58,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op7_quality_attention")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_pack_sequences")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack_documents(table(spark, sf_dir, "documents"))
