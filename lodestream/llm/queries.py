@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, dual_tree, mil_quality, mixing, simhash
+from lodestream.llm import bin_packing, dual_tree, html_crf, mil_quality, mixing, simhash, weighted_fingerprint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_main_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_weighted_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op4_dual_tree_top_k")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
