@@ -8,6 +8,8 @@ the pieces by their position among the pieces of their length.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,23 +25,34 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Branches looked at before the best solution so far is taken.
-NODES = 30
+NODES = 150
 BRANCHES = 6
 _CACHED_WORDS = 1_000_000
 _CACHED_LENGTH = 48
 
 
 class Chunks(dict):
-    """Packed ids (little-endian unsigned 32-bit) of the chunks seen first."""
+    """Packed ids (little-endian unsigned 32-bit) of the chunks seen first.
+
+    The vocabulary splits a chunk into runs of letters, digits and marks and never
+    joins across them; so a plain chunk is put together from its runs.
+    """
 
     def __init__(self, path: str):
         super().__init__()
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
+        self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __missing__(self, chunk: str) -> bytes:
-        packed = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        runs = self.runs.findall(chunk.lower()) if "<|" not in chunk and self.plain.fullmatch(chunk) else ()
+        if len(runs) > 1:
+            packed = b"".join([self[run] for run in runs])
+        else:
+            packed = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) < _CACHED_WORDS and len(chunk) <= _CACHED_LENGTH:
             self[chunk] = packed
         return packed
@@ -57,6 +70,15 @@ class Encoder:
     def __init__(self, path: str):
         self.known = Chunks(path)
 
+    @staticmethod
+    def kept(path: str) -> Encoder:
+        """The worker process's encoder, so that its tasks share what is remembered."""
+        store = sys.modules.setdefault("lodestream_worker_store", types.ModuleType("lodestream_worker_store"))
+        encoders = store.__dict__.setdefault("encoders", {})
+        if path not in encoders:
+            encoders[path] = Encoder(path)
+        return encoders[path]
+
     def encode(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
@@ -81,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer or tokenizer_path())
+        encoder = Encoder.kept(tokenizer or tokenizer_path())
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -177,9 +199,10 @@ def completions(left: np.ndarray, room: int, most: int) -> list[Filling]:
     if not len(sizes):
         return [()]
     found: list[Filling] = []
-    exact = room if left[room] else None
-    if exact:
+    if left[room]:
         return [(room,)]
+    if most == 1:
+        return [_fill(left, sizes[::-1].tolist(), room, 4)]
     for a in sizes[::-1][: 4 * most].tolist():
         left[a] -= 1
         rest = sizes[(sizes <= min(a, room - a)) & (left[sizes] > 0)]
@@ -257,6 +280,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     @dataclass
     class Step:
         options: list[Filling]
+        all: bool = False
         at: int = 0
         used: int = 0
         times: int = 0
@@ -269,6 +293,10 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
         """Try the next option of the last step; False if none is left or allowed."""
         nonlocal waste, used
         step = path[-1]
+        if step.at == len(step.options) and not step.all:
+            # The other fillings are only listed when the first one is taken back.
+            step.options += [f for f in options(BRANCHES) if f not in step.options]
+            step.all = True
         while step.at < len(step.options):
             filling = step.options[step.at]
             step.at += 1
@@ -295,10 +323,10 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
         used -= step.times
         step.times, step.filling = 0, ()
 
-    def options() -> list[Filling]:
+    def options(most: int) -> list[Filling]:
         largest = int(np.flatnonzero(left)[-1])
         left[largest] -= 1
-        out = [(largest, *f) for f in completions(left, capacity - largest, BRANCHES)]
+        out = [(largest, *f) for f in completions(left, capacity - largest, most)]
         left[largest] += 1
         return out
 
@@ -307,7 +335,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
             if used < bins:
                 incumbent, bins = [(s.filling, s.times) for s in path], used
         else:
-            path.append(Step(options()))
+            path.append(Step(options(1)))
             if descend():
                 continue
             path.pop()
