@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, dual_tree, html_crf, mil_quality, mixing, simhash, weighted_fingerprint
+from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, weighted_fingerprint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(table(spark, sf_dir, "pages"))
 
 
+@query(
+    "op2_line_dedup",
+    r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(range(len(ls))) AS l, unnest(ls) AS line FROM s),
+w AS (SELECT DISTINCT doc_id, l, unnest(regexp_extract_all(line, '[^ 	-]+')) AS word FROM l),
+n AS (SELECT doc_id, l, count(*) AS n FROM w GROUP BY ALL),
+x AS (SELECT w.*, n.n FROM w JOIN n USING (doc_id, l)),
+p AS (SELECT a.doc_id, a.l, a.n, b.doc_id AS d2, b.l AS l2, b.n AS n2, count(*) AS o FROM x a JOIN x b ON a.word = b.word
+      AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.l < a.l)) AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n) GROUP BY ALL),
+g AS (SELECT DISTINCT doc_id, l FROM p WHERE 10 * o >= 8 * (n + n2 - o)),
+k AS (SELECT l.doc_id, count(*) AS n_lines, count(g.l) AS n_removed,
+             coalesce(string_agg(l.line, chr(10) ORDER BY l.l) FILTER (g.l IS NULL), '') AS kept
+      FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.l = g.l GROUP BY l.doc_id)
+SELECT doc_id, n_lines::INT AS n_lines, n_removed::INT AS n_removed, sha256(kept) AS kept_sha256 FROM k
+""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.stripped(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce(F.col("_row.text"), F.lit("")).cast("binary"), 256)
+    return kept.select(F.col("_row.doc_id").alias("doc_id"), "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
 @query("op3_weighted_fingerprints")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprint.fingerprints(table(spark, sf_dir, "documents"))

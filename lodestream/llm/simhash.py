@@ -84,9 +84,8 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     empty ones, and empty ones are linked to each other like any others. Repeated
     rows stay repeated. Other columns of ``docs`` are not looked at.
     """
-    marked = with_fingerprint(docs.select("doc_id", "text"), words).select("doc_id", "fingerprint")
-    distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    distinct = cut(distinct)
+    marked = cut(with_fingerprint(docs.select("doc_id", "text"), words).select("doc_id", "fingerprint"))
+    distinct = cut(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct, radius)).withColumnRenamed("node", "fingerprint")
     placed = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     best = placed.groupBy("root").agg(F.min("first").alias("component_id"))
