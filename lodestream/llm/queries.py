@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, weighted_fingerprint
+from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, surrogates, weighted_fingerprint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,7 +37,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(range(len(ls))) AS l, unnest(ls) AS line FROM s),
-w AS (SELECT DISTINCT doc_id, l, unnest(regexp_extract_all(line, '[^ 	-]+')) AS word FROM l),
+w AS (SELECT DISTINCT doc_id, l, unnest(regexp_extract_all(line, '[^ 	-
+]+')) AS word FROM l),
 n AS (SELECT doc_id, l, count(*) AS n FROM w GROUP BY ALL),
 x AS (SELECT w.*, n.n FROM w JOIN n USING (doc_id, l)),
 p AS (SELECT a.doc_id, a.l, a.n, b.doc_id AS d2, b.l AS l2, b.n AS n2, count(*) AS o FROM x a JOIN x b ON a.word = b.word
@@ -101,6 +102,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op9_surrogates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.anonymised(table(spark, sf_dir, "documents"))
+    return replaced.select(F.col("_row.doc_id").alias("doc_id"), "n_entities", F.col("_row.text").alias("text"))
+
+
 @query("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
