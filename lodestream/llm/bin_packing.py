@@ -25,12 +25,23 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # Branches looked at before the best solution so far is taken.
-NODES = 150
+NODES = 40
 BRANCHES = 6
 _CACHED_WORDS = 1_000_000
 _CACHED_LENGTH = 48
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: a printable character per byte, applied to Latin-1 text."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in printable]
+    letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {i: "".join(letters[b] for b in chr(i).encode()) for i in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Chunks(dict):
     """Packed ids (little-endian unsigned 32-bit) of the chunks seen first.
 
@@ -44,6 +55,7 @@ class Chunks(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.plain = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -51,6 +63,10 @@ class Chunks(dict):
         runs = self.runs.findall(chunk.lower()) if "<|" not in chunk and self.plain.fullmatch(chunk) else ()
         if len(runs) > 1:
             packed = b"".join([self[run] for run in runs])
+        elif runs:
+            # What the tokenizer's earlier steps make of a plain run: bytes as letters.
+            ids = [token.id for token in self.model.tokenize(runs[0].translate(_LETTERS))]
+            packed = np.array(ids, "<u4").tobytes()
         else:
             packed = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) < _CACHED_WORDS and len(chunk) <= _CACHED_LENGTH:
@@ -195,24 +211,18 @@ def _dominated(filling: Filling, other: Filling) -> bool:
 
 def completions(left: np.ndarray, room: int, most: int) -> list[Filling]:
     """Undominated fillings of ``room`` by the remaining lengths, fullest first."""
-    sizes = np.flatnonzero(left[: room + 1])
-    if not len(sizes):
-        return [()]
-    found: list[Filling] = []
     if left[room]:
         return [(room,)]
-    if most == 1:
-        return [_fill(left, sizes[::-1].tolist(), room, 4)]
-    for a in sizes[::-1][: 4 * most].tolist():
+    first = _fill(left, room)
+    if most == 1 or not first:
+        return [first]
+    found = {first}
+    for a in np.flatnonzero(left[: room + 1])[::-1][: 4 * most].tolist():
         left[a] -= 1
-        rest = sizes[(sizes <= min(a, room - a)) & (left[sizes] > 0)]
-        found.append((a, *_fill(left, rest[::-1].tolist(), room - a, 6)))
+        found.add(tuple(sorted((a, *_fill(left, room - a)), reverse=True)))
         left[a] += 1
-        if sum(found[-1]) == room and len(found) >= most:
-            break
-    found = sorted(set(found), key=lambda f: (-sum(f), len(f)))
     kept: list[Filling] = []
-    for filling in found:
+    for filling in sorted(found, key=lambda f: (-sum(f), len(f))):
         if not any(_dominated(filling, k) for k in kept):
             kept.append(filling)
             if len(kept) == most:
@@ -220,35 +230,46 @@ def completions(left: np.ndarray, room: int, most: int) -> list[Filling]:
     return kept
 
 
-def _fill(left: np.ndarray, sizes: list[int], room: int, depth: int) -> Filling:
-    """The fullest filling found: an exact one of up to three items if there is
-    one, else the largest items that fit."""
-    if room <= 0 or not sizes:
+def _pair(left: np.ndarray, room: int) -> Filling:
+    """The fullest filling by one or two items, the larger item as large as can be."""
+    if room < 1:
         return ()
-    if room < len(left) and left[room] > 0 and sizes[0] >= room:
-        return (room,)
-    for a in sizes:
-        b = room - a
-        if 0 < b <= a and left[b] > (a == b):
-            return (a, b)
-    best: Filling = ()
-    for a in sizes[:depth] if depth else ():
-        if a > room:
-            continue
-        left[a] -= 1
-        filling = (a, *_fill(left, [s for s in sizes if s <= min(a, room - a) and left[s] > 0], room - a, depth // 2))
-        left[a] += 1
-        if sum(filling) > sum(best):
-            best = filling
-            if sum(best) == room:
-                break
-    if not best:
-        a = next((s for s in sizes if s <= room), 0)
-        if a:
+    sizes = np.arange(room + 1)
+    there = left[: room + 1] > 0
+    # The largest item that fits beside each a; beside its own length only if there are two.
+    below = np.maximum.accumulate(np.where(there, sizes, 0))
+    partner = below[np.minimum(sizes, room - sizes)]
+    alike = (partner == sizes) & (left[: room + 1] < 2)
+    partner = np.where(alike, np.concatenate([[0], below[:-1]])[partner], partner)
+    sums = np.where(there, sizes + partner, 0)
+    a = room - int(np.argmax(sums[::-1]))
+    if not sums[a]:
+        return ()
+    return (a, int(partner[a])) if partner[a] else (a,)
+
+
+def _fill(left: np.ndarray, room: int, tries: int = 16) -> Filling:
+    """The fullest filling found: an exact one of up to three items if the first
+    tries show one, else the fullest of these, with what still fits beside it."""
+    best = _pair(left, room)
+    if sum(best) < room:
+        for a in np.flatnonzero(left[: room + 1])[::-1][:tries].tolist():
             left[a] -= 1
-            best = (a, *_fill(left, [s for s in sizes if s <= min(a, room - a) and left[s] > 0], room - a, 0))
+            filling = (a, *_pair(left, room - a))
             left[a] += 1
-    return best
+            if sum(filling) > sum(best):
+                best = filling
+                if sum(best) == room:
+                    break
+    rest = room - sum(best)
+    if best and rest and left[: rest + 1].any():
+        for a in best:
+            left[a] -= 1
+        more = _fill(left, rest, 1)
+        for a in best:
+            left[a] += 1
+        best = (*best, *more)
+    return tuple(sorted(best, reverse=True))
 
 
 def _times(left: np.ndarray, filling: Filling) -> int:
