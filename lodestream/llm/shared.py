@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestream.session import checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
+FILTER_BITS = 1 << 20
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -51,6 +52,20 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     return numbered.join(shifts, same).select(*df.columns, (F.col("_shift") + F.col("_local") - 1).alias("_pos"))
 
 
+def present(ids: DataFrame, column: str) -> Column:
+    """A test that is true for every row of ``column`` with a value in ``ids`` (and few
+    others while those are few): a bit per hash, in a table of fixed size, part of the plan."""
+    bins = ids.select(F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b"))
+    one = F.lit(1).cast("bigint")
+    words = bins.groupBy(F.shiftright("b", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    table = ["0"] * (FILTER_BITS >> 6)
+    for row in words.collect():
+        table[row["w"]] = str(row["bits"])
+    b = F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1))
+    word = F.get(F.split(F.lit(",".join(table)), ",").cast("array<bigint>"), F.shiftright(b, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", word, b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(one) == 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); root is the smallest node reached.
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.shared import cut, positions, whole
+from lodestream.llm.shared import cut, positions, present, whole
 
 SAMPLES = 32
 BLOCK_ROWS = 256
@@ -68,7 +68,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
         F.when(F.col("_pos") == 0, F.lit(count - 1)).otherwise(F.col("_pos") - 1).alias("_pos"), F.col("_k").alias("_hk"), F.col("_null").alias("_hn"), F.col("_block").alias("_hb")
     ).join(ranked.select("_pos", "_block"), "_pos")
     texts = (
-        own.join(heads.select("_hk", "_hn", F.col("_block").alias("_before")), (F.col("_k") == F.col("_hk")) & (F.col("_hn") == F.col("doc_id").isNull()))
+        own.where(present(ranked, "_k")).join(heads.select("_hk", "_hn", F.col("_block").alias("_before")), (F.col("_k") == F.col("_hk")) & (F.col("_hn") == F.col("doc_id").isNull()))
         .groupBy("_before").agg(F.min("text").alias("_head"))
     )
     joined = placed.join(texts, F.col("_block") == F.col("_before"), "left")
@@ -93,24 +93,27 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     # Words before the cut count for both texts; the word at the cut is taken apart.
     common = F.regexp_replace(F.expr("left(text, _kept)"), r"[^\x20\x09-\x0D]+\z", "")
     parts = placed.withColumn("_common", common).withColumn("_len", F.length("_common"))
+    # The id stays along, so that both uses of the rows above need the same columns
+    # and share one shuffle of the texts.
+    row = ["_block", "_n", "doc_id"]
     parts = parts.select(
-        "_block", "_n",
+        *row,
         F.explode(F.array(
             F.struct(F.col("_common").alias("part"), F.lit(1).alias("a"), F.lit(1).alias("b")),
             F.struct(F.expr("substring(text, _len + 1)").alias("part"), F.lit(1).alias("a"), F.lit(0).alias("b")),
             F.struct(F.expr("substring(edited, _len + 1)").alias("part"), F.lit(0).alias("a"), F.lit(1).alias("b")),
         )).alias("p"),
     )
-    words = parts.select("_block", "_n", F.col("p.a").alias("a"), F.col("p.b").alias("b"), F.explode(F.split("p.part", _GAP)).alias("word"))
-    terms = words.where("word <> ''").groupBy("_block", "_n", F.xxhash64("word").alias("term")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    words = parts.select(*row, F.col("p.a").alias("a"), F.col("p.b").alias("b"), F.explode(F.split("p.part", _GAP)).alias("word"))
+    terms = words.where("word <> ''").groupBy(*row, F.xxhash64("word").alias("term")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     # One row if both texts weigh the term alike (side 2), else one per text that has it.
     sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.lit(2).alias("side"), F.col("a").alias("w")))).otherwise(
         F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("w")), F.struct(F.lit(1).alias("side"), F.col("b").alias("w")))
     )
-    weighed = terms.select("_block", "_n", "term", F.explode(sides).alias("s")).where("s.w > 0")
-    weighed = weighed.select("_block", "_n", "term", F.col("s.side").alias("side"), F.ln(F.col("s.w").cast("double")).alias("lw"))
-    drawn = weighed.groupBy("_block", "_n", "side").agg(*[F.min(sample_value(F.col("term"), F.col("lw"), k)).alias(f"m{k}") for k in range(samples)])
-    merged = drawn.groupBy("_block", "_n").agg(
+    weighed = terms.select(*row, "term", F.explode(sides).alias("s")).where("s.w > 0")
+    weighed = weighed.select(*row, "term", F.col("s.side").alias("side"), F.ln(F.col("s.w").cast("double")).alias("lw"))
+    drawn = weighed.groupBy(*row, "side").agg(*[F.min(sample_value(F.col("term"), F.col("lw"), k)).alias(f"m{k}") for k in range(samples)])
+    merged = drawn.groupBy(*row).agg(
         *[F.min(F.when(F.col("side") != 1, F.col(f"m{k}"))).alias(f"x{k}") for k in range(samples)],
         *[F.min(F.when(F.col("side") != 0, F.col(f"m{k}"))).alias(f"y{k}") for k in range(samples)],
     )
