@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, surrogates, weighted_fingerprint
+from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, suffix_dedup, surrogates, weighted_fingerprint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,6 +92,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_quality_attention")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
