@@ -14,12 +14,11 @@ from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.shared import components, cut
+from lodestream.llm.shared import components, cut, whole
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -95,3 +94,22 @@ def near_groups(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
 
 def hexadecimal(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
+
+
+def one_per_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, same columns.
+
+    The row with the smallest doc_id stays (null before all others); of rows that
+    share it, the one with the smallest text hash, and one of equal rows. Texts
+    without words, null ones too, are duplicates of each other like any others.
+    """
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64(whole()).alias("t"))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"), "text")
+    marked = cut(with_fingerprint(rows, words, name="_f").select("_key", "_f"))
+    # The first row of each fingerprint first, so that groups of copies are one row each.
+    best = cut(marked.groupBy("_f").agg(F.min("_key").alias("first")))
+    roots = components(links(best.select(F.col("_f").alias("fingerprint")), radius))
+    placed = best.join(roots, best["_f"] == roots["node"], "left").withColumn("root", F.coalesce("root", "_f"))
+    chosen = placed.groupBy("root").agg(F.min("first").alias("_key")).select("_key")
+    met = rows.drop("text").join(chosen, "_key")
+    return met.groupBy("_key").agg(F.first("_row").alias("_row")).select("_row.*").select(*docs.columns)
