@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestream.session import checkpoint_dir
@@ -17,6 +19,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a compressed table in the shared folder: for wide or many rows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
@@ -52,17 +61,23 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     return numbered.join(shifts, same).select(*df.columns, (F.col("_shift") + F.col("_local") - 1).alias("_pos"))
 
 
+def fixed_table(spark: SparkSession, values: list[int], kind: str) -> Column:
+    """A list of fixed size as an array that every row can look into: a scalar
+    subquery, so that it is sent once and does not swell the plan's text."""
+    return spark.createDataFrame([(values,)], f"held array<{kind}>").select("held").scalar()
+
+
 def present(ids: DataFrame, column: str) -> Column:
     """A test that is true for every row of ``column`` with a value in ``ids`` (and few
-    others while those are few): a bit per hash, in a table of fixed size, part of the plan."""
+    others while those are few): a bit per hash, in a table of fixed size."""
     bins = ids.select(F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b"))
     one = F.lit(1).cast("bigint")
     words = bins.groupBy(F.shiftright("b", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
-    table = ["0"] * (FILTER_BITS >> 6)
+    table = [0] * (FILTER_BITS >> 6)
     for row in words.collect():
-        table[row["w"]] = str(row["bits"])
+        table[row["w"]] = row["bits"]
     b = F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1))
-    word = F.get(F.split(F.lit(",".join(table)), ",").cast("array<bigint>"), F.shiftright(b, 6).cast("int"))
+    word = F.get(fixed_table(ids.sparkSession, table, "bigint"), F.shiftright(b, 6).cast("int"))
     return F.call_function("shiftrightunsigned", word, b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(one) == 1
 
 

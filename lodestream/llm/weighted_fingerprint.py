@@ -54,10 +54,13 @@ def neighbours(docs: DataFrame) -> DataFrame:
     own = docs.select("doc_id", whole().alias("text"))
     ends = own.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
     low, high = ends["lo"] or 0, ends["hi"] or 0
-    width = max(1, -(-(high - low + 1) * BLOCK_ROWS // max(1, ends["n"])))
+    width = min(high - low + 1, -(-(high - low + 1) * BLOCK_ROWS // max(1, ends["n"])))
     own = own.withColumn("_k", F.coalesce("doc_id", F.lit(low)))
     # (a DIV b) on the distance from the smallest id, which may not fit a long.
-    own = own.withColumn("_block", F.floor((F.col("_k").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("bigint"))
+    own = own.withColumn("_block", F.floor((F.col("_k").cast("decimal(20,0)") - F.lit(str(low)).cast("decimal(20,0)")) / F.lit(str(width)).cast("decimal(20,0)")).cast("bigint"))
+    # Never null; said here, as a join would otherwise say it on one of its sides only,
+    # and the two sides would not share the shuffle below them.
+    own = own.where("_block IS NOT NULL")
     order = [F.col("_k"), F.col("doc_id").isNotNull(), F.col("text")]
     inside = Window.partitionBy("_block").orderBy(*order)
     placed = own.withColumn("_n", F.row_number().over(inside)).withColumn("_lead", F.lead("text").over(inside))
