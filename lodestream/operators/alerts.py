@@ -70,8 +70,11 @@ def metric_ticks(events: DataFrame, length: str = "5 minutes") -> DataFrame:
     """(tick, endpoint, action, metric, value): what the rules look at, per 30 s.
 
     Rates and quantiles are kept per action, the rest per endpoint (action '').
-    One pass over the events per label set, all metrics of it together.
+    One pass over the events per label set, all metrics of it together. Dimension
+    and score bounds are gauges: the value of the newest event of the window, by
+    time and then by ``event_id``.
     """
+    newest = F.struct("ts", *([F.col("event_id")] if "event_id" in events.columns else []))
     per_action = telemetry.sliding(
         events,
         ["endpoint", "action"],
@@ -85,16 +88,18 @@ def metric_ticks(events: DataFrame, length: str = "5 minutes") -> DataFrame:
         events,
         ["endpoint"],
         {"n": F.count("*"), "inference": F.sum("inference_s"), "inferences": F.count("inference_s"),
-         "cost": F.sum("cost"), "seen": F.max("ts"), "last_dimension": F.max_by("dimension", "ts"), "score_min": F.min("score"), "score_max": F.max("score"),
+         "cost": F.sum("cost"), "seen": F.max(newest), "last_dimension": F.max_by("dimension", newest), "last_score": F.max_by("score", newest),
          "s": F.sum("score"), "ss": F.sum(F.col("score") * F.col("score")), "scores": F.count("score")},
         length,
-        merge={"seen": F.max, "last_dimension": lambda c: F.max_by(c, "seen"), "score_min": F.min, "score_max": F.max},
+        merge={"seen": F.max, "last_dimension": lambda c: F.max_by(c, "seen"), "last_score": lambda c: F.max_by(c, "seen")},
     ).withColumns(
         {
             "action": F.lit(""),
             "inference_mean": F.try_divide(F.col("inference"), F.col("inferences")),
             "cost_per_1k": 1000 * F.col("cost") / F.col("n"),
             "dimension": F.col("last_dimension").cast("double"),
+            "score_min": F.col("last_score"),
+            "score_max": F.col("last_score"),
             "score_stddev": F.sqrt(
                 F.greatest(F.col("ss") / F.col("scores") - F.pow(F.col("s") / F.col("scores"), F.lit(2)), F.lit(0.0))
             ),
@@ -176,18 +181,21 @@ def transitions(runs: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
     )
 
 
-def absences(events: DataFrame, limit_seconds: int = 120, tick_seconds: int = TICK_SECONDS) -> DataFrame:
+def absences(
+    events: DataFrame, limit_seconds: int = 120, tick_seconds: int = TICK_SECONDS, until: Column | None = None
+) -> DataFrame:
     """Silences of an endpoint that lasted the limit: fired at, resolved at.
 
     Ticks with traffic are found first, so the ordering step sees at most one
-    row per endpoint and tick however busy the endpoint is. The last silence
-    is open (resolved null) and is not reported.
+    row per endpoint and tick however busy the endpoint is. A silence that lasts
+    until now (``until``, or the newest event of any endpoint) is open: resolved null.
     """
+    now = F.unix_seconds((events.agg(F.max("ts")).scalar() if until is None else until).cast("timestamp"))
     active = events.groupBy("endpoint", F.window("ts", f"{tick_seconds} seconds").alias("w")).agg(F.count("*").alias("n"))
     order = Window.partitionBy("endpoint").orderBy("w_start")
     flat = active.select("endpoint", F.col("w.start").alias("w_start"), F.col("w.end").alias("w_end"))
     gaps = flat.withColumn("resolved_at", F.lead("w_start").over(order))
-    quiet = F.unix_seconds(F.col("resolved_at").cast("timestamp")) - F.unix_seconds(F.col("w_end").cast("timestamp"))
+    quiet = F.coalesce(F.unix_seconds(F.col("resolved_at").cast("timestamp")), now) - F.unix_seconds(F.col("w_end").cast("timestamp"))
     fired = F.col("w_end") + F.expr(f"INTERVAL {limit_seconds} SECONDS")
     return gaps.where(quiet >= limit_seconds).select(
         "endpoint", F.col("w_end").alias("silent_since"), fired.alias("fired_at"), "resolved_at"
@@ -201,6 +209,27 @@ def inhibit(active: DataFrame, equal: Sequence[str] = ("alertname", "endpoint"))
     return active.where(F.coalesce(F.col("severity") != "warning", F.lit(True))).unionByName(warnings)
 
 
+def alert_rows(changes: DataFrame) -> DataFrame:
+    """One alert per firing or resolved transition, as messages need it.
+
+    The rule's category, summary and description come along; ``{value}`` and
+    ``{endpoint}`` in them are filled in.
+    """
+    value = F.format_string("%.6f", F.col("value"))
+
+    def filled(text: str) -> Column:
+        return F.replace(F.replace(F.col(text), F.lit("{value}"), value), F.lit("{endpoint}"), F.col("endpoint"))
+
+    notes = F.map_filter(
+        F.create_map(F.lit("summary"), filled("summary"), F.lit("description"), filled("description")), lambda _, v: v.isNotNull()
+    )
+    rows = changes.where(F.col("status").isin("firing", "resolved"))
+    return rows.select(
+        *KEYS, "severity", "category", "status", "changed_at",
+        F.concat(F.date_format("changed_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("startsAt"), notes.alias("annotations"),
+    )
+
+
 # --- messages ------------------------------------------------------------------
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lodestream.functions.hashing import SPAN, hash32
 
-_BUCKET_BITS = 12
+# Rows aimed at per hash bucket.
+BUCKET_ROWS = 1 << 18
 
 
 def hash_split(
@@ -24,11 +25,12 @@ def hash_split(
 
 def _bucketed(df: DataFrame, key: str, seed: int | str) -> tuple[DataFrame, DataFrame]:
     """Rows with their hash bucket, and per bucket how many rows come before it."""
-    rows = df.withColumn("_hash", hash32(seed, key)).withColumn(
-        "_bucket", F.shiftrightunsigned("_hash", 32 - _BUCKET_BITS)
-    )
+    # Buckets grow with the table, so that one is always a modest sort; 2^20 of them,
+    # at 2^18 rows each, are 2.7e11 rows, and their counts still a small table.
+    bits = min(20, max(0, (max(1, df.count()) - 1) // BUCKET_ROWS).bit_length())
+    rows = df.withColumn("_hash", hash32(seed, key)).withColumn("_bucket", F.shiftrightunsigned("_hash", 32 - bits) if bits else F.lit(0))
     counts = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # At most 2^12 rows, whatever the table's size: safe in one task and to broadcast.
+    # At most 2^20 pairs of numbers, whatever the table's size: safe in one task and to broadcast.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return rows, offsets

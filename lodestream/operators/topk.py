@@ -3,18 +3,13 @@
 Scores are quantised to 1e-9 before ranking, so the order in which a dot
 product was summed never decides a rank; equal scores go to the smaller id.
 
-Two exact physical forms, chosen by the measured number of queries:
-
-* *scan*: the bounded query matrix is shipped to every task and the corpus is
-  read in place, without a shuffle. A task keeps k rows per query while it
-  streams through its partition.
-* *grid*: both sides are hashed into fragments and every (query fragment,
-  corpus fragment) cell is one bounded group, so neither side has to fit
-  anywhere and no id can make a cell hot.
-
-With a large corpus both forms first rank a slice of it. The k-th score over
-any slice is a lower bound of the final k-th score, so later tasks drop what
-is below it: this cuts the rows shuffled and never changes the result.
+The query matrix is cut into blocks of bounded rows and bytes. Each block is sent
+to every task and the corpus is read in place, without a shuffle of it; a task
+keeps k rows per query while it streams through its partition. A hundredth of a
+large corpus is ranked first: the k-th score over any slice is a lower bound of the
+final k-th score, so later tasks drop what is below it. This cuts the rows shuffled
+and never changes the result. As the slice grows with the corpus, what is moved
+stays at about a hundred times k rows per query.
 """
 
 from __future__ import annotations
@@ -26,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestream.session import checkpoint_dir
+
 SCALE = 1e9
 _QUERY_STEP = 256
 
@@ -35,9 +32,12 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if rows and flat.size % rows:
+    if column.null_count:
+        raise ValueError("a vector is null")
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if rows and (lengths != lengths[0]).any():
         raise ValueError("all vectors of one side must have the same dimension")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
 
 
@@ -70,6 +70,8 @@ class _Running:
         for part, start in enumerate(range(0, len(self.qids), _QUERY_STEP)):
             stop = start + _QUERY_STEP
             scores = np.rint(self.queries[start:stop] @ vectors.T * SCALE) / SCALE
+            # A score that is no number takes no place.
+            scores[~np.isfinite(scores)] = -np.inf
             if self.skip_self:
                 scores[self.qids[start:stop, None] == ids[None, :]] = -np.inf
             if self.floors is not None:
@@ -124,32 +126,6 @@ def _scan(corpus: DataFrame, qids: np.ndarray, matrix: np.ndarray, floors, k: in
     return corpus.mapInArrow(kernel, "qid bigint, cid bigint, score double")
 
 
-def _grid(queries: DataFrame, corpus: DataFrame, q_cells: int, c_cells: int, k: int, skip_self: bool) -> DataFrame:
-    """``queries`` carry a ``floor`` column; cells are bounded by construction."""
-    left = queries.withColumn("qcell", F.pmod(F.xxhash64("qid"), F.lit(q_cells)).cast("int")).withColumn(
-        "ccell", F.explode(F.sequence(F.lit(0), F.lit(c_cells - 1)))
-    )
-    right = corpus.withColumn("ccell", F.pmod(F.xxhash64("cid"), F.lit(c_cells)).cast("int")).withColumn(
-        "qcell", F.explode(F.sequence(F.lit(0), F.lit(q_cells - 1)))
-    )
-
-    def kernel(q: pa.Table, c: pa.Table) -> pa.Table:
-        qid = cid = np.empty(0, np.int64)
-        score = np.empty(0, np.float64)
-        if q.num_rows and c.num_rows:
-            floors = q.column("floor").to_numpy()
-            running = _Running(_ids(q.column("qid")), _matrix(q.column("vec")), floors, k, skip_self)
-            running.add(_ids(c.column("cid")), _matrix(c.column("vec")))
-            qid, cid, score = (np.concatenate(parts) for parts in zip(*running.rows()))
-        return pa.table({"qid": pa.array(qid, pa.int64()), "cid": pa.array(cid, pa.int64()), "score": pa.array(score, pa.float64())})
-
-    return (
-        left.groupBy("qcell", "ccell")
-        .cogroup(right.groupBy("qcell", "ccell"))
-        .applyInArrow(kernel, "qid bigint, cid bigint, score double")
-    )
-
-
 def exact_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -159,46 +135,40 @@ def exact_topk(
     cid: str = "cid",
     vector: str = "embedding",
     exclude_self: bool = False,
-    scan_queries: int = 16_384,
-    scan_bytes: int = 128 << 20,
-    cell_rows: int = 16_384,
+    block_rows: int = 16_384,
+    block_bytes: int = 128 << 20,
     floor_rows: int = 65_536,
 ) -> DataFrame:
     """Rows (qid, cid, score, rank), rank 1..k by score desc, cid asc.
 
     Queries and corpus ids must be unique BIGINTs. All rows are returned when
-    the corpus has fewer than k. ``scan_queries`` and ``scan_bytes`` bound the
-    matrix that may be broadcast; above them the grid form is used.
+    the corpus has fewer than k. ``block_rows`` and ``block_bytes`` bound the
+    matrix that is broadcast at a time; both are checked before it is collected.
+    ``floor_rows`` is the smallest slice worth ranking first (0: none).
     """
     q = queries.select(F.col(qid).cast("bigint").alias("qid"), F.col(vector).alias("vec"))
     c = corpus.select(F.col(cid).cast("bigint").alias("cid"), F.col(vector).alias("vec"))
-
-    probe = q.limit(scan_queries + 1).toArrow()
-    if probe.num_rows == 0:
+    size = q.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    if not size["n"]:
         return _final_rank(c.sparkSession.createDataFrame([], "qid bigint, cid bigint, score double"), k)
-    if probe.num_rows <= scan_queries:
-        matrix = _matrix(probe.column("vec"))
-        if matrix.nbytes <= scan_bytes:
-            qids = _ids(probe.column("qid"))
-            floors = None
-            if floor_rows and c.count() > 4 * floor_rows:
-                # Any slice gives a valid lower bound, so which rows it holds is free.
-                slice_ = c.limit(floor_rows).repartition(64, "cid")
-                found = _final_rank(_scan(slice_, qids, matrix, None, k, exclude_self), k)
-                low = {r.qid: r.low for r in _kth(found, k).collect()}  # one row per broadcast query
-                floors = np.array([low[int(i)] if low.get(int(i)) is not None else -np.inf for i in qids])
-            return _final_rank(_scan(c, qids, matrix, floors, k, exclude_self), k)
-
-    q_cells = max(1, -(-q.count() // cell_rows))
-    c_cells = max(1, -(-c.count() // cell_rows))
-    floors = None
-    if floor_rows and c_cells * cell_rows > 4 * floor_rows:
-        slice_cells = -(-floor_rows // cell_rows)
-        start = q.withColumn("floor", F.lit(float("-inf")))
-        first = _grid(start, c.limit(floor_rows), q_cells, slice_cells, k, exclude_self)
-        floors = _kth(_final_rank(first, k), k).withColumnRenamed("low", "floor")
-    if floors is None:
-        q = q.withColumn("floor", F.lit(float("-inf")))
-    else:
-        q = q.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    return _final_rank(_grid(q, c, q_cells, c_cells, k, exclude_self), k)
+    block = max(1, min(block_rows, block_bytes // (8 * max(1, size["dim"] or 1))))
+    blocks = -(-size["n"] // block)
+    if blocks > 1:
+        checkpoint_dir(q.sparkSession)
+        q = q.checkpoint()
+    slice_ = None
+    if floor_rows and c.count() > 4 * floor_rows:
+        # Any slice gives a valid lower bound, so which rows it holds is free.
+        slice_ = c.where(F.pmod(F.xxhash64("cid"), F.lit(100)) == 0)
+    found = None
+    for number in range(blocks):
+        own = q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == number).toArrow()
+        if not own.num_rows:
+            continue
+        qids, matrix, floors = _ids(own.column("qid")), _matrix(own.column("vec")), None
+        if slice_ is not None:
+            low = {r.qid: r.low for r in _kth(_final_rank(_scan(slice_, qids, matrix, None, k, exclude_self), k), k).collect()}
+            floors = np.array([low[int(i)] if low.get(int(i)) is not None else -np.inf for i in qids])
+        part = _scan(c, qids, matrix, floors, k, exclude_self)
+        found = part if found is None else found.union(part)
+    return _final_rank(found, k)

@@ -336,7 +336,7 @@ _CONDITIONS = f"""
              {_bucket_list("duration_s", hist.LATENCY_BOUNDS)} FROM w GROUP BY ALL),
     pq AS (SELECT *, {_quantile_sql("latency_p95", 0.95, hist.LATENCY_BOUNDS)} FROM pa),
     pe AS (SELECT window_end AS tick, endpoint, '' AS action, avg(inference_s) AS inference_mean, 1000 * sum(cost) / count(*) AS cost_per_1k,
-             CAST(arg_max(dimension, event_id) AS DOUBLE) AS dimension, min(score) AS score_min, max(score) AS score_max,
+             CAST(arg_max(dimension, event_id) AS DOUBLE) AS dimension, arg_max(score, event_id) AS score_min, arg_max(score, event_id) AS score_max,
              stddev_pop(score) AS score_stddev FROM w GROUP BY ALL),
     cs AS (SELECT endpoint, worker_id, min(ts) AS ts FROM e GROUP BY ALL),
     cw AS (SELECT time_bucket(INTERVAL '30 seconds', ts) + (120 - i) * INTERVAL 30 SECOND AS tick, endpoint, '' AS action,
@@ -407,7 +407,7 @@ def alert_sustained(spark, sf):
     WITH {_E}, t AS (SELECT DISTINCT endpoint, time_bucket(INTERVAL '30 seconds', ts) AS s FROM e),
     g AS (SELECT endpoint, s + INTERVAL 30 SECOND AS silent_since, lead(s) OVER (PARTITION BY endpoint ORDER BY s) AS resolved_at FROM t)
     SELECT endpoint, silent_since, silent_since + INTERVAL 120 SECOND AS fired_at, resolved_at FROM g
-    WHERE resolved_at - silent_since >= INTERVAL 120 SECOND
+    WHERE epoch(coalesce(resolved_at, (SELECT max(ts) FROM e)))::BIGINT - epoch(silent_since)::BIGINT >= 120
     """,
 )
 def alert_absence(spark, sf):
@@ -433,31 +433,29 @@ def alert_inhibit(spark, sf):
 
 def _alerts(spark, sf):
     """An alert of each firing or resolved transition, and its delivery."""
-    rows = _transitions(spark, sf).where(F.col("status") != "pending")
-    return rows.select(
-        F.date_format("changed_at", "yyyy-MM-dd").alias("batch_id"), "alertname", "severity",
-        F.when(F.col("severity") == "critical", "reliability").otherwise("odd").alias("category"),
-        F.concat("endpoint", F.lit("/"), "action").alias("endpoint"), "status",
-        F.concat(F.date_format("changed_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("startsAt"),
-        F.when(F.col("severity") == "critical", F.create_map(F.lit("summary"), F.col("summary"))).otherwise(
-            F.create_map(F.lit("runbook_url"), F.lit("http://x"))
-        ).alias("annotations"),
+    rows = alerts.alert_rows(_transitions(spark, sf))
+    return rows.withColumns(
+        {"batch_id": F.date_format("changed_at", "yyyy-MM-dd"), "endpoint": F.concat("endpoint", F.lit("/"), "action")}
     )
 
 
 def _alerts_sql() -> str:
-    summaries = ", ".join(f"('{r[0]}', '{r[8]}')" for r in dict((r[0], r) for r in alerts.RULES).values())
+    quoted = lambda v: "NULL" if v is None else f"'{v}'"
+    notes = ", ".join("(" + ", ".join(map(quoted, (r[0], *r[7:10]))) + ")" for r in dict((r[0], r) for r in alerts.RULES).values())
     return f"""
-    {_TRANSITIONS}, summaries(alertname, summary) AS (VALUES {summaries}),
-    al AS (SELECT strftime(changed_at, '%Y-%m-%d') AS batch_id, alertname, severity, endpoint || '/' || action AS endpoint, status, changed_at, summary
-           FROM tr JOIN summaries USING (alertname) WHERE status <> 'pending'),
+    {_TRANSITIONS}, notes(alertname, category, summary, description) AS (VALUES {notes}),
+    al AS (SELECT strftime(changed_at, '%Y-%m-%d') AS batch_id, alertname, severity, category, endpoint || '/' || action AS endpoint, status, changed_at,
+             summary, replace(replace(description, '{{value}}', printf('%.6f', value)), '{{endpoint}}', endpoint) AS description
+           FROM tr JOIN notes USING (alertname) WHERE status <> 'pending'),
     msg AS (SELECT *, CASE status WHEN 'firing' THEN '🚨 *FIRING* ' ELSE '✅ *RESOLVED* ' END
-        || CASE severity WHEN 'critical' THEN '🔴 💀' WHEN 'warning' THEN '⚠️ 📊' ELSE 'ℹ️ 📊' END || chr(10) || chr(10)
+        || CASE severity WHEN 'critical' THEN '🔴 ' WHEN 'warning' THEN '⚠️ ' ELSE 'ℹ️ ' END
+        || CASE category WHEN 'reliability' THEN '💀' WHEN 'performance' THEN '⚡' WHEN 'model_quality' THEN '🎯' WHEN 'operability' THEN '🔧'
+             WHEN 'cost' THEN '💰' ELSE '📊' END || chr(10) || chr(10)
         || '*Alert:* `' || alertname || '`' || chr(10) || '*Endpoint:* `' || endpoint || '`' || chr(10)
-        || '*Severity:* ' || severity || chr(10) || '*Category:* ' || CASE severity WHEN 'critical' THEN 'reliability' ELSE 'odd' END || chr(10)
-        || CASE severity WHEN 'critical' THEN chr(10) || '📝 *Summary:*' || chr(10) || summary || chr(10) ELSE '' END
-        || chr(10) || '⏰ *Time:* ' || strftime(changed_at, '%Y-%m-%d %H:%M:%S') || ' UTC' || chr(10)
-        || CASE severity WHEN 'critical' THEN '' ELSE chr(10) || '📖 [Runbook](http://x)' || chr(10) END AS message FROM al)
+        || '*Severity:* ' || severity || chr(10) || '*Category:* ' || category || chr(10)
+        || chr(10) || '📝 *Summary:*' || chr(10) || summary || chr(10)
+        || CASE WHEN description IS NULL THEN '' ELSE chr(10) || '💬 *Details:*' || chr(10) || description || chr(10) END
+        || chr(10) || '⏰ *Time:* ' || strftime(changed_at, '%Y-%m-%d %H:%M:%S') || ' UTC' || chr(10) AS message FROM al)
     """
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestream.plans.registry import table
-from lodestream.session import spread
 
 SCORED_PAIRS_SQL = """
 SELECT doc_id AS pair_id, quality AS label,
@@ -41,9 +40,9 @@ SELECT CAST(user_id % 10 AS BIGINT) AS run_id, CAST(day(ts) AS INT) AS epoch, av
 FROM events GROUP BY 1, 2"""
 
 RUN_METRICS_SQL = """
-SELECT event_type AS model, CAST(user_id % 3 + 9 AS INT) AS version,
+SELECT event_type AS model, CAST(CASE WHEN event_type = 'view' AND user_id % 3 = 1 THEN 12 ELSE user_id % 3 + 9 END AS INT) AS version,
        concat('m@', CAST(event_id % 4 AS BIGINT)) AS metric, avg(value) AS value
-FROM events WHERE NOT (event_type = 'view' AND user_id % 3 = 1) GROUP BY 1, 2, 3"""
+FROM events GROUP BY 1, 2, 3"""
 
 
 def scored_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +72,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents")).withColumnRenamed("doc_id", "cid")
+    return table(spark, sf, "documents").withColumnRenamed("doc_id", "cid")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

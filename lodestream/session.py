@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans joins and splits skewed partitions at run time;
 # the byte sizes keep a task's input well inside executor memory.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Adaptive execution only merges partitions, so a shuffle starts with many.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
@@ -48,12 +50,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(local)
     return local
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Enough tasks for CPU-bound work on a table held in very few files.
-
-    A table with at least as many files as there are cores is returned as it
-    is, so nothing large is ever shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or len(df.inputFiles()) >= cores else df.repartition(cores)

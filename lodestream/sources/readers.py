@@ -14,13 +14,17 @@ from lodestream import schemas
 
 log = logging.getLogger(__name__)
 
-# Quoted fields may hold line breaks and doubled quotes.
-_CSV = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
+# Quoted fields may hold doubled quotes.
+_CSV = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV by column name: the file may order or add columns as it likes."""
-    raw = spark.read.options(**_CSV).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """CSV by column name: the file may order or add columns as it likes.
+
+    With ``multi_line`` quoted fields may hold line breaks, and a file is one task;
+    without, large files are split.
+    """
+    raw = spark.read.options(**_CSV, multiLine=multi_line).csv(path)
     wanted = [field.split()[0] for field in schema.split(", ")]
     kinds = dict(field.split(maxsplit=1) for field in schema.split(", "))
     missing = [c for c in wanted if c not in raw.columns]
@@ -29,19 +33,19 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[F.col(c).try_cast(kinds[c].lower()).alias(c) for c in wanted])
 
 
-def raw_corpus(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.RAW_CORPUS)
+def raw_corpus(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return read_csv(spark, path, schemas.RAW_CORPUS, multi_line)
 
 
-def raw_train(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.RAW_TRAIN)
+def raw_train(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return read_csv(spark, path, schemas.RAW_TRAIN, multi_line)
 
 
 def read_matching(spark: SparkSession, folder: str, pattern: str, fmt: str = "csv", schema: str | None = None) -> DataFrame:
     """Every file below ``folder`` whose name matches a glob."""
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if fmt == "csv":
-        reader = reader.options(**_CSV)
+        reader = reader.options(**_CSV, multiLine=True)
     return (reader.schema(schema) if schema else reader).format(fmt).load(folder)
 
 
@@ -52,6 +56,9 @@ def read_optional(spark: SparkSession, paths: Mapping[str, str], fmt: str = "par
         try:
             found[name] = spark.read.option("ignoreMissingFiles", "true").format(fmt).load(path)
         except AnalysisException as error:
+            # Only a missing path may be skipped, not a wrong schema or a denied access.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             log.warning("skipping %s: %s", name, error)
     return found
 

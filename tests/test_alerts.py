@@ -98,3 +98,21 @@ def test_bands(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (0.9,), (None,)], "v double")
     got = [r[0] for r in df.select(telemetry.banded(F.col("v"), [(0, "red"), (0.5, "yellow"), (0.9, "green")])).collect()]
     assert got == ["red", "yellow", "green", None]
+
+
+def test_open_silence_is_reported(spark):
+    rows = [("a", T0), ("a", T0 + timedelta(days=1)), ("b", T0)]
+    found = alerts.absences(spark.createDataFrame(rows, "endpoint string, ts timestamp"))
+    got = {(r.endpoint, r.silent_since, r.resolved_at) for r in found.collect()}
+    began = T0 + timedelta(seconds=30)
+    assert got == {("a", began, T0 + timedelta(days=1)), ("b", began, None)}
+
+
+def test_alert_rows_fill_placeholders(spark):
+    rule = {r[0]: r for r in alerts.RULES}["BiEncoderHighErrorRate"]
+    row = (rule[0], "bi-encoder", "embed", "critical", rule[7], rule[8], rule[9], "firing", T0, 0.5)
+    schema = "alertname string, endpoint string, action string, severity string, category string, summary string, description string, status string, changed_at timestamp, value double"
+    made = alerts.alert_rows(spark.createDataFrame([row, (*row[:6], None, "pending", T0, 0.5), (*row[:6], None, "resolved", T0, 0.5)], schema)).collect()
+    assert {r.status: r.annotations for r in made} == {
+        "firing": {"summary": rule[8], "description": "Error rate is 0.500000 for endpoint bi-encoder"}, "resolved": {"summary": rule[8]}
+    }

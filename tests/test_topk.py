@@ -34,9 +34,8 @@ def test_forms_agree(sides):
     expected = rows(exact_topk_sql(q, c, 7, exclude_self=True))
     assert rows(exact_topk(q, c, 7, exclude_self=True)) == expected
     assert rows(exact_topk(q.repartition(3), c.repartition(5), 7, exclude_self=True, floor_rows=60)) == expected
-    grid = dict(scan_queries=10, cell_rows=150)
-    assert rows(exact_topk(q, c, 7, exclude_self=True, **grid, floor_rows=0)) == expected
-    assert rows(exact_topk(q, c, 7, exclude_self=True, **grid, floor_rows=40)) == expected
+    assert rows(exact_topk(q, c, 7, exclude_self=True, block_rows=150, floor_rows=0)) == expected
+    assert rows(exact_topk(q, c, 7, exclude_self=True, block_bytes=64 * 8 * 200, floor_rows=40)) == expected
 
 
 def test_ties_go_to_smaller_id(spark):
@@ -44,7 +43,7 @@ def test_ties_go_to_smaller_id(spark):
     data = [(i, [0.5, float(i)]) for i in range(40, 0, -1)] + [(99, [0.9, 0.0])]
     c = spark.createDataFrame(data, "cid bigint, embedding array<float>").repartition(4)
     assert [r[2] for r in rows(exact_topk(q, c, 4))] == [99, 1, 2, 3]
-    assert [r[2] for r in rows(exact_topk(q, c, 4, scan_queries=0, cell_rows=10))] == [99, 1, 2, 3]
+    assert [r[2] for r in rows(exact_topk(q, c, 4, block_rows=1, floor_rows=5))] == [99, 1, 2, 3]
 
 
 def test_small_corpus_and_no_queries(spark):
@@ -62,4 +61,14 @@ def test_hot_duplicates(spark):
     q = c.select(F.col("cid").alias("qid"), "embedding")
     expected = rows(exact_topk_sql(q, c, 250))
     assert rows(exact_topk(q, c, 250)) == expected
-    assert rows(exact_topk(q, c, 250, scan_queries=5, cell_rows=64, floor_rows=70)) == expected
+    assert rows(exact_topk(q, c, 250, block_rows=200, floor_rows=70)) == expected
+
+
+def test_odd_vectors(spark):
+    schema = "cid bigint, embedding array<double>"
+    q = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "qid bigint, embedding array<double>")
+    for bad in ([(1, [1.0, 2.0, 3.0]), (2, [1.0] * 5), (3, [1.0])], [(1, [1.0, 2.0, 3.0]), (2, None)]):
+        with pytest.raises(Exception, match="same dimension|is null"):
+            exact_topk(q, spark.createDataFrame(bad, schema).coalesce(1), 2).collect()
+    nan = [(1, [float("nan"), 0.0, 0.0]), (2, [3.0, 0.0, 0.0]), (3, [2.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0])]
+    assert [r[2] for r in rows(exact_topk(q, spark.createDataFrame(nan, schema), 3))] == [2, 3, 4]
