@@ -385,10 +385,13 @@ def labelled(page: str, copies: int, seed: int) -> list[tuple[list[list[int]], l
 
 def fit(pages: DataFrame, most: int = FIT_PAGES, copies: int = 6) -> Field:
     """Train on a fixed sample of at most ``most`` pages, picked by a hash of the id."""
-    sample = pages.select("page_id", "html").where(F.col("html").contains("<article")).orderBy(F.xxhash64("page_id", "html"), "page_id").limit(most)
+    usable = pages.select("page_id", "html", F.xxhash64("page_id", "html").alias("h")).where(F.col("html").contains("<article"))
+    # Hashes first, so that no more pages than the sample's are moved.
+    last = usable.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    sample = sorted((r["h"], r["page_id"] or 0, r["html"]) for r in usable.where(F.col("h") <= F.lit(last)).collect()) if last is not None else []
     chains = []
-    for i, row in enumerate(sample.collect()):
-        chains += labelled(row["html"], copies, i)
+    for i, (_, _, page) in enumerate(sample):
+        chains += labelled(page, copies, i)
     return train(chains)
 
 
