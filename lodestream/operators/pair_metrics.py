@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestream.operators.ordered import quantile_bounds, running_sums
 
+# Fixed names and values.
 COUNTS = ("true_positives", "true_negatives", "false_positives", "false_negatives")
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
 CLASS_NAMES = ("Not Relevant", "Relevant")
@@ -59,10 +60,11 @@ def roc_auc(pairs: DataFrame, zones: int = 256) -> DataFrame:
     """Area under the ROC curve with ties counted half; 0 with one class only.
 
     Rows collapse to one per distinct score first, then each positive meets
-    the negatives below it through a range-wise running sum.
+    the negatives below it through a range-wise running sum. The ranges are cut from
+    the distinct scores, so that one score of most rows does not empty them.
     """
     per_score = pairs.groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    running = running_sums(per_score, "score", ["neg"], quantile_bounds(pairs, "score", zones))
+    running = running_sums(per_score, "score", ["neg"], quantile_bounds(per_score, "score", zones))
     total = running.agg(
         F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("won"),
         F.sum("pos").cast("double").alias("p"),

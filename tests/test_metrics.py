@@ -124,3 +124,15 @@ def test_gate(spark):
     bad = good.withColumn("value", F.when(F.col("metric") == "true_positives", 0.0).otherwise(F.col("value")))
     assert not runs.gate(bi, bad).first().passed
     assert not runs.gate(bi.where("metric = 'mrr'"), good).first().passed
+
+
+def test_auc_under_heavy_ties(spark):
+    """999 of 1000 rows have one score: the zones still hold the others apart."""
+    rows = [(0.5, i % 2) for i in range(9990)] + [(i / 10, int(i > 4)) for i in range(10)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    pos, neg = [s for s, l in rows if l], [s for s, l in rows if not l]
+    from collections import Counter
+
+    p, n = Counter(pos), Counter(neg)
+    exact = sum(c * sum(d * ((a > b) + (a == b) / 2) for b, d in n.items()) for a, c in p.items()) / (len(pos) * len(neg))
+    assert pair_metrics.roc_auc(df).first()[0] == pytest.approx(exact)
