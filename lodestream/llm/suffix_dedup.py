@@ -339,8 +339,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = documents(docs)
     found = anchor_rows(rows, length)
     groups = found.groupBy("key", "c").agg(F.count("*").alias("n"), F.min(F.struct("d", "la")).alias("first"))
-    keys = groups.groupBy("key").agg(F.count("*").alias("m"), F.min("first").alias("home")).where("m > 1")
-    kept = cut(groups.join(keys, "key", "left").where("n > 1 OR m > 1"))
+    # Both uses of the groups need the same columns, so that they share one shuffle.
+    keys = groups.groupBy("key").agg(F.count("*").alias("m"), F.min("first").alias("home"), F.max("n").alias("most")).where("m > 1 OR most > 1")
+    kept = cut(groups.join(keys, "key").where("n > 1 OR m > 1"))
 
     # Contexts that occur twice as a whole.
     low = F.lit((1 << 32) - 1)
