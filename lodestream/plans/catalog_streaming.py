@@ -112,7 +112,7 @@ def stream_error_log(spark, sf):
 @query(
     "stream_absence",
     f"""
-    WITH a AS ({ORACLES["alert_absence"]}), e AS ({views.REQUEST_EVENTS_SQL}),
+    WITH a AS (SELECT * FROM ({ORACLES["alert_absence"]}) WHERE resolved_at IS NOT NULL), e AS ({views.REQUEST_EVENTS_SQL}),
     last_tick AS (SELECT endpoint, max(time_bucket(INTERVAL '30 seconds', ts)) AS tick FROM e GROUP BY endpoint)
     SELECT endpoint, 'firing' AS status, silent_since, fired_at AS changed_at FROM a
     UNION ALL SELECT endpoint, 'resolved', silent_since, resolved_at FROM a
