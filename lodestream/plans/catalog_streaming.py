@@ -77,6 +77,18 @@ def stream_latency_quantiles(spark, sf):
     return _plain_time(rows.withColumns({n: F.round(n, 9) for n in ("p50", "p95", "p99")}), "window_start", "window_end")
 
 
+@query(
+    "stream_cold_starts",
+    f"""
+    SELECT endpoint, worker_id, min(ts) AS ts FROM ({views.REQUEST_EVENTS_SQL}) GROUP BY ALL
+    HAVING min(ts) < (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MINUTE FROM events)
+    """,
+)
+def stream_cold_starts(spark, sf):
+    """R6 as a stream, at the default delay."""
+    return _plain_time(_drained(spark, stream_telemetry.cold_starts(_events(spark, sf))), "ts")
+
+
 @query(
     "stream_alert_changes",
     f"""

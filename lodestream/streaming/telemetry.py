@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming import StreamingQuery
 
 LATE_LIMIT = "168 hours"
@@ -17,9 +20,40 @@ def timed(events: DataFrame, delay: str = "1 minute") -> DataFrame:
     return stamped.dropDuplicatesWithinWatermark(["event_id"]) if "event_id" in events.columns else stamped
 
 
-def cold_starts(events: DataFrame, forget_after: str | None = None) -> DataFrame:
-    """First request of a worker, remembered for the watermark's span."""
-    return events.select("endpoint", "worker_id", "ts").dropDuplicatesWithinWatermark(["endpoint", "worker_id"])
+def cold_starts(events: DataFrame, forget_after: timedelta = timedelta(days=30)) -> DataFrame:
+    """(endpoint, worker_id, ts): the first request of each worker.
+
+    A worker's first time is held until the watermark has passed it, so that an
+    earlier request that arrives later still counts. A worker is remembered until it
+    has been silent for ``forget_after``; then its next request is a cold start again.
+    State is three numbers per worker.
+    """
+    keep = int(forget_after.total_seconds() * 1000)
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        first, last, told = state.get if state.exists else (None, None, False)
+        if not state.hasTimedOut:
+            for batch in batches:
+                if len(batch):
+                    stamps = batch["ts"].astype("datetime64[us]").astype("int64")
+                    first = min(int(stamps.min()), first if first is not None else int(stamps.min())) if not told else first
+                    last = max(int(stamps.max()), last if last is not None else int(stamps.max()))
+        now = state.getCurrentWatermarkMs()
+        out = []
+        if not told and first is not None and now * 1000 > first:
+            told, out = True, [(*key, pd.Timestamp(first, unit="us"))]
+        if told and now >= last // 1000 + keep:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((first, last, told))
+            state.setTimeoutTimestamp(max((last // 1000 + keep if told else first // 1000) + 1, now + 1))
+        yield pd.DataFrame(out, columns=["endpoint", "worker_id", "ts"])
+
+    keyed = events.select("endpoint", "worker_id", "ts").groupBy("endpoint", "worker_id")
+    return keyed.applyInPandasWithState(
+        update, "endpoint string, worker_id string, ts timestamp", "first bigint, last bigint, told boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
 
 
 def run_windows(
