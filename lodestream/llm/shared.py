@@ -67,16 +67,16 @@ def fixed_table(spark: SparkSession, values: list[int], kind: str) -> Column:
     return spark.createDataFrame([(values,)], f"held array<{kind}>").select("held").scalar()
 
 
-def present(ids: DataFrame, column: str) -> Column:
-    """A test that is true for every row of ``column`` with a value in ``ids`` (and few
-    others while those are few): a bit per hash, in a table of fixed size."""
-    bins = ids.select(F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b"))
+def present(ids: DataFrame, *columns: str) -> Column:
+    """A test that is true for every row with values in ``ids`` (and few others while
+    those are few): a bit per hash of the columns, in a table of fixed size."""
+    bins = ids.select(F.xxhash64(*columns).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b"))
     one = F.lit(1).cast("bigint")
     words = bins.groupBy(F.shiftright("b", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
     table = [0] * (FILTER_BITS >> 6)
     for row in words.collect():
         table[row["w"]] = row["bits"]
-    b = F.xxhash64(column).bitwiseAND(F.lit(FILTER_BITS - 1))
+    b = F.xxhash64(*columns).bitwiseAND(F.lit(FILTER_BITS - 1))
     word = F.get(fixed_table(ids.sparkSession, table, "bigint"), F.shiftright(b, 6).cast("int"))
     return F.call_function("shiftrightunsigned", word, b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(one) == 1
 
