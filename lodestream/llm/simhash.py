@@ -24,22 +24,29 @@ BITS = 64
 _CHUNK = 1 << 16
 
 
-def simhash(text: str | None, words: int = 3) -> int:
-    """Bit i is set if it is set in over half the hashes of the word shingles.
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, with repeats and in order.
 
-    A-Z are lower-cased; shingles count with repeats; a text with fewer words is
-    one shingle; a text without words (or null) has fingerprint 0.
+    A-Z are lower-cased; a text with fewer words is one shingle; a text without
+    words (or null) has none.
     """
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(found) - words + 1
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     if n < 1:
         shingles: Iterator[bytes] = iter([b" ".join(found)])
         n = 1
     else:
         shingles = map(b" ".join, zip(*[found[i:] for i in range(words)]))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, n)
+
+
+def simhash(text: str | None, words: int = 3) -> int:
+    """Bit i is set if it is set in over half the hashes of the word shingles; a text
+    without words (or null) has fingerprint 0."""
+    hashes = shingle_hashes(text, words)
+    n = len(hashes)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, n, _CHUNK):
         part = hashes[at : at + _CHUNK]
