@@ -7,8 +7,9 @@ ln c - r (t - b) - r, and the smallest value's (term, t) is the sample. Two text
 agree in a sample with a probability equal to the generalised Jaccard similarity
 of their weights, sum of minima over sum of maxima.
 
-Only built-in functions are used. Texts are shuffled once, by blocks of
-neighbouring ids; counting terms and sampling then happen inside the blocks.
+Only built-in functions are used. Texts are shuffled once, by a hash of id and text,
+whatever the ids are; counting terms and sampling stay where a text is. Of the next
+document only the head that is needed is moved.
 """
 
 from __future__ import annotations
@@ -16,10 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.shared import cut, positions, present, whole
+from lodestream.llm.shared import cut, positions, present, row_key, whole
 
 SAMPLES = 32
-BLOCK_ROWS = 256
 _GAP = r"[\x20\x09-\x0D]+"
 _LOW = (1 << 32) - 1
 
@@ -44,39 +44,38 @@ def sample_value(term: Column, log_weight: Column, k: int) -> Column:
     return upper.bitwiseOR(second.bitwiseXOR(t * 40503).bitwiseAND(F.lit(_LOW)))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next, _block, _n): each row with the text of the next document.
+def order(docs: DataFrame) -> DataFrame:
+    """(_key, n, _next, _before, _quarter): per distinct row (id and text) how often it
+    occurs, the rows after and before it, and a quarter of the length of the latter.
 
-    Documents are ordered by doc_id (null first), rows that share an id by text;
-    after the last comes the first. ``_block`` and ``_n`` identify the row. Blocks
-    are ranges of ids of equal width, a few hundred documents each.
+    Rows are ordered by doc_id (null first), those that share an id by text; after the
+    last comes the first. Texts are ordered only where an id has several.
     """
-    own = docs.select("doc_id", whole().alias("text"))
-    ends = own.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    low, high = ends["lo"] or 0, ends["hi"] or 0
-    width = min(high - low + 1, -(-(high - low + 1) * BLOCK_ROWS // max(1, ends["n"])))
-    own = own.withColumn("_k", F.coalesce("doc_id", F.lit(low)))
-    # (a DIV b) on the distance from the smallest id, which may not fit a long.
-    own = own.withColumn("_block", F.floor((F.col("_k").cast("decimal(20,0)") - F.lit(str(low)).cast("decimal(20,0)")) / F.lit(str(width)).cast("decimal(20,0)")).cast("bigint"))
-    # Never null; said here, as a join would otherwise say it on one of its sides only,
-    # and the two sides would not share the shuffle below them.
-    own = own.where("_block IS NOT NULL")
-    order = [F.col("_k"), F.col("doc_id").isNotNull(), F.col("text")]
-    inside = Window.partitionBy("_block").orderBy(*order)
-    placed = own.withColumn("_n", F.row_number().over(inside)).withColumn("_lead", F.lead("text").over(inside))
-    firsts = own.groupBy("_block").agg(F.min("_k").alias("_k"), F.max(F.col("doc_id").isNull()).alias("_null")).withColumn("_all", F.lit(0))
-    ranked = cut(positions(firsts.select("_block", "_k", "_null", "_all"), ["_all"], ["_block"]))
-    count = ranked.count()
-    heads = ranked.select(
-        F.when(F.col("_pos") == 0, F.lit(count - 1)).otherwise(F.col("_pos") - 1).alias("_pos"), F.col("_k").alias("_hk"), F.col("_null").alias("_hn"), F.col("_block").alias("_hb")
-    ).join(ranked.select("_pos", "_block"), "_pos")
-    texts = (
-        own.where(present(ranked, "_k")).join(heads.select("_hk", "_hn", F.col("_block").alias("_before")), (F.col("_k") == F.col("_hk")) & (F.col("_hn") == F.col("doc_id").isNull()))
-        .groupBy("_before").agg(F.min("text").alias("_head"))
-    )
-    joined = placed.join(texts, F.col("_block") == F.col("_before"), "left")
-    following = F.when(F.col("_lead").isNull(), F.coalesce("_head", F.lit(""))).otherwise(F.col("_lead"))
-    return joined.select("doc_id", "text", following.alias("next"), "_block", "_n"), heads.select("_block", F.col("_hb").alias("_next_block"))
+    own = docs.select(row_key().alias("_key"), whole().alias("text"))
+    several = own.select("_key").distinct().groupBy(F.col("_key.id").alias("_id")).agg(F.count("*").alias("n")).where("n > 1")
+    own = own.withColumn("_id", F.col("_key.id"))
+    tie = F.when(present(several, "_id"), F.col("text"))
+    keys = own.groupBy("_key", "_id").agg(F.min(tie).alias("_tie"), F.count("*").alias("n"), F.floor(F.max(F.length("text")) / 4).cast("int").alias("_q"))
+    ranked = positions(keys.withColumn("_all", F.lit(0)), ["_all"], ["_id", "_tie"])
+    ranked = cut(ranked.select("_key", "n", "_q", "_pos"))
+    count = max(1, ranked.count())
+    after = ranked.select(F.col("_key").alias("_next"), F.pmod(F.col("_pos") - 1, F.lit(count)).alias("_pos"))
+    before = ranked.select(F.col("_key").alias("_before"), F.col("_q").alias("_quarter"), F.pmod(F.col("_pos") + 1, F.lit(count)).alias("_pos"))
+    return cut(ranked.join(after, "_pos").join(before, "_pos").select("_key", "n", "_next", "_before", "_quarter"))
+
+
+def neighbours(docs: DataFrame, ordered: DataFrame) -> DataFrame:
+    """(_key, _copy, text, next): each distinct row with the start of the next document.
+
+    Rows that occur several times follow each other: ``_copy`` is 0 for the last of
+    them, and 1 stands for the others, which are followed by themselves.
+    """
+    texts = docs.select(row_key().alias("_key"), whole().alias("text")).groupBy("_key").agg(F.first("text").alias("text"))
+    heads = texts.join(ordered.select("_key", "_before", "_quarter"), "_key").select(F.col("_before").alias("_key"), F.expr("left(text, _quarter)").alias("_head"))
+    met = texts.join(ordered.select("_key", "n"), "_key").join(heads, "_key")
+    last = F.struct(F.lit(0).alias("copy"), F.col("_head").alias("next"))
+    other = F.struct(F.lit(1).alias("copy"), F.col("text").alias("next"))
+    return met.select("_key", "text", F.explode(F.when(F.col("n") > 1, F.array(last, other)).otherwise(F.array(last))).alias("_c")).select("_key", F.col("_c.copy").alias("_copy"), "text", F.col("_c.next").alias("next"))
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -88,17 +87,16 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     such texts are alike. Rows that share an id are told apart by their texts;
     equal rows follow each other.
     """
-    placed, blocks = neighbours(docs)
+    ordered = order(docs)
+    placed = neighbours(docs, ordered)
     n = F.length("text")
     tail = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - CAST(floor(length(text) / 4) AS INT))"), F.expr("left(next, CAST(floor(length(text) / 4) AS INT))"))
-    placed = placed.select("_block", "_n", "doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"), (n - tail).alias("_kept"))
+    placed = placed.select("_key", "_copy", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"), (n - tail).alias("_kept"))
     # Words before the cut count for both texts; the word at the cut is taken apart.
     common = F.regexp_replace(F.expr("left(text, _kept)"), r"[^\x20\x09-\x0D]+\z", "")
     parts = placed.withColumn("_common", common).withColumn("_len", F.length("_common"))
-    # The id stays along, so that both uses of the rows above need the same columns
-    # and share one shuffle of the texts.
-    row = ["_block", "_n", "doc_id"]
+    row = ["_key", "_copy"]
     parts = parts.select(
         *row,
         F.explode(F.array(
@@ -124,13 +122,15 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     def packed(letter: str) -> Column:
         return F.array(*[F.coalesce(F.col(f"{letter}{k}"), F.lit(_LOW)).bitwiseAND(F.lit(_LOW)) for k in range(samples)])
 
-    prints = merged.select("_block", "_n", packed("x").alias("_x"), packed("y").alias("_y"))
+    prints = merged.select(*row, packed("x").alias("_x"), packed("y").alias("_y"))
     blank = F.array_repeat(F.lit(_LOW), samples)
-    facts = placed.select("_block", "_n", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    rows = cut(facts.join(prints, ["_block", "_n"], "left").withColumns({"_x": F.coalesce("_x", blank), "_y": F.coalesce("_y", blank)}))
-    first = rows.where("_n = 1").select(F.col("_block").alias("_next_block"), F.col("_x").alias("_head")).join(blocks, "_next_block").select("_block", "_head")
-    rows = rows.withColumn("_next", F.lead("_x").over(Window.partitionBy("_block").orderBy("_n"))).join(first, "_block", "left")
-    rows = rows.withColumn("_next", F.coalesce("_next", "_head", "_x"))
+    facts = placed.select(*row, "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    rows = cut(facts.join(prints, row, "left").withColumns({"_x": F.coalesce("_x", blank), "_y": F.coalesce("_y", blank)}))
+    following = ordered.select(F.col("_next").alias("_key"), F.col("_key").alias("_to")).join(rows.where("_copy = 0").select("_key", F.col("_x").alias("_next")), "_key")
+    rows = rows.join(ordered.select("_key", "n"), "_key").join(following.select(F.col("_to").alias("_key"), "_next"), "_key")
+    rows = rows.withColumn("_next", F.when(F.col("_copy") == 1, F.col("_x")).otherwise(F.col("_next")))
+    times = F.when(F.col("_copy") == 1, F.col("n") - 1).otherwise(F.lit(1).cast("bigint"))
+    rows = rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), times))).withColumn("doc_id", F.col("_key.id"))
 
     def text(column: str) -> Column:
         return F.lower(F.array_join(F.transform(column, lambda v: F.lpad(F.hex(v), 8, "0")), ""))

@@ -159,6 +159,29 @@ def test_fingerprints_odd_rows(odd, nothing, spark):
     assert got == {-(2**63): 1.0, 0: 0.0, 2**63 - 1: 0.0}
 
 
+def test_fingerprints_of_clustered_missing_and_repeated_ids(spark):
+    rows = [(i, f"a{i} b{i % 7} c d e f g h") for i in range(200)] + [(10**12, "far away from all others")]
+    rows += [(None, f"no id {i % 40} but words to count") for i in range(100)] + [(7, f"same id {i // 2} and more of it") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = weighted_fingerprint.fingerprints(docs).collect()
+    texts = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected = []
+    for i, (doc_id, text) in enumerate(texts):
+        q = len(text) // 4
+        edited = text[: len(text) - q] + texts[(i + 1) % len(texts)][1][:q]
+        expected.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == Counter(expected)
+    # No task has most of the texts, wherever the ids lie.
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = weighted_fingerprint.neighbours(docs, weighted_fingerprint.order(docs))
+        sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 3
+
+
 PRIVATE = (
     "Call +1 (017) 555-7713 or +1-017-555-7713, mail Me.Too@mail7.example.com or ME.TOO@MAIL7.EXAMPLE.COM. "
     "Card 4111 1111 1111 1111, also 4111111111111111, not 1234567812345678; host 97.51.17.173. "
