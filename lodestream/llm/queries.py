@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bin_packing, dual_tree, html_crf, line_dedup, mil_quality, mixing, simhash, suffix_dedup, surrogates, weighted_fingerprint
+from lodestream.llm import (
+    bin_packing,
+    dual_tree,
+    html_crf,
+    line_dedup,
+    mil_quality,
+    mixing,
+    simhash,
+    suffix_dedup,
+    surrogates,
+    turn_repair,
+    url_cascade,
+    weighted_fingerprint,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +132,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_repair.damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.audits(turns, F.col("absent"))
+
+
+@query(
+    "op12_url_cascade",
+    r"""
+WITH r(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                                       ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS n FROM u),
+f AS (SELECT p.n, r.host || r.path AS rule, r.verdict FROM p JOIN r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+b AS (SELECT n, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict FROM f GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN b USING (n)
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_cascade.RULES, url_cascade.RULE_SCHEMA)
+    judged = url_cascade.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select(F.col("_row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(table(spark, sf_dir, "embeddings"), 4)
