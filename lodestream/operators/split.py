@@ -1,15 +1,28 @@
-"""Seeded splits, samples and shuffles that do not depend on partitioning."""
+"""Seeded splits, samples and shuffles that do not depend on partitioning.
+
+A row's place in a seeded permutation is the rank of (hash of its key, key). Hashes
+are uniform, so a count per leading bits of the hash (at most 2^20 numbers, whatever
+the table's size) tells where every place lies. Splits and samples need only the few
+places where they cut: the cut's bits are narrowed down to one (hash, key), and each row is
+then compared with it where it stands. Only a full ranking moves anything, the keys
+by themselves, and the places are joined back.
+"""
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestream.functions.hashing import SPAN, hash32
 
-# Rows aimed at per hash bucket.
+# Leading bits of a hash that are counted, and rows aimed at per bucket of a full ranking.
+COUNTED_BITS = 20
+LEAST_BITS = 6
 BUCKET_ROWS = 1 << 18
 
 
@@ -23,52 +36,92 @@ def hash_split(
     return df.withColumn("split", F.when(first, "train").when(second, "test").otherwise("val"))
 
 
-def _bucketed(df: DataFrame, key: str, seed: int | str) -> tuple[DataFrame, DataFrame]:
-    """Rows with their hash bucket, and per bucket how many rows come before it."""
-    # Buckets grow with the table, so that one is always a modest sort; 2^20 of them,
-    # at 2^18 rows each, are 2.7e11 rows, and their counts still a small table.
-    bits = min(20, max(0, (max(1, df.count()) - 1) // BUCKET_ROWS).bit_length())
-    rows = df.withColumn("_hash", hash32(seed, key)).withColumn("_bucket", F.shiftrightunsigned("_hash", 32 - bits) if bits else F.lit(0))
-    counts = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # At most 2^20 pairs of numbers, whatever the table's size: safe in one task and to broadcast.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows, offsets
-
-
-def seeded_rank(df: DataFrame, key: str, seed: int | str = 42, out: str = "pos", first: int | None = None) -> DataFrame:
+@dataclass
+class Radix:
+    """Row counts by the leading bits of the hash, in one pass over the keys."""
+
+    df: DataFrame
+    key: str
+    seed: int | str
+    before: np.ndarray  # rows before each bucket, and in the end all rows
+
+    @classmethod
+    def of(cls, df: DataFrame, key: str, seed: int | str) -> Radix:
+        bits = F.shiftrightunsigned(hash32(seed, key), 32 - COUNTED_BITS).cast("int")
+        counted = df.select(bits.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).toPandas()
+        counts = np.zeros(1 << COUNTED_BITS, np.int64)
+        counts[counted["bucket"].to_numpy(np.int64)] = counted["n"]
+        return cls(df, key, seed, np.concatenate([[0], np.cumsum(counts)]))
+
+    @property
+    def rows(self) -> int:
+        return int(self.before[-1])
+
+    def _hash(self) -> Column:
+        return hash32(self.seed, self.key)
+
+    def below(self, place: int) -> Column:
+        """True for exactly the rows at places less than ``place``.
+
+        The bucket that holds the place is counted by whole hashes (at most 2^12), and
+        the few keys that share the hash are looked at one by one.
+        """
+        if place <= 0:
+            return F.lit(False)
+        if place >= self.rows:
+            return F.lit(True)
+        bucket = int(np.searchsorted(self.before, place, side="right")) - 1
+        left = place - int(self.before[bucket])
+        if not left:
+            return self._hash() < bucket << 32 - COUNTED_BITS
+        hashed = self.df.select(self._hash().alias("h"), F.col(self.key).alias("k"))
+        inside = hashed.where(F.shiftrightunsigned("h", 32 - COUNTED_BITS) == bucket)
+        for row in sorted(inside.groupBy("h").agg(F.count("*").alias("n")).collect()):
+            if left < row["n"]:
+                break
+            left -= row["n"]
+        edge = F.lit(row["h"])
+        if not left:
+            return self._hash() < edge
+        equal = inside.where(F.col("h") == edge).orderBy("k").limit(left + 1).collect()[left]["k"]
+        return (self._hash() < edge) | ((self._hash() == edge) & (F.col(self.key) < F.lit(equal)))
+
+
+def seeded_rank(df: DataFrame, key: str, seed: int | str = 42, out: str = "pos") -> DataFrame:
     """0-based position of every row in the seeded permutation of a unique key.
 
-    Rows are ranked inside uniform hash buckets and shifted by the bucket's
-    offset, so no task sorts the whole table. With ``first`` only the buckets
-    that can hold the first rows are shuffled.
+    Only (hash, key) is shuffled and sorted, in buckets whose number grows with
+    the table (64 at least); the positions are joined back by key.
     """
-    rows, offsets = _bucketed(df, key, seed)
-    if first is not None:
-        offsets = offsets.where(F.col("_before") < first)
-    inside = Window.partitionBy("_bucket").orderBy("_hash", key)
-    ranked = rows.join(F.broadcast(offsets), "_bucket").withColumn(
-        out, F.col("_before") + F.row_number().over(inside) - 1
-    )
-    ranked = ranked.drop("_hash", "_bucket", "_before")
-    return ranked if first is None else ranked.where(F.col(out) < first)
+    radix = Radix.of(df, key, seed)
+    bits = min(COUNTED_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, radix.rows / BUCKET_ROWS)))))
+    starts = radix.before[:-1][:: 1 << COUNTED_BITS - bits]
+    # At most 2^20 pairs of numbers, so they may be sent to every task.
+    offsets = df.sparkSession.createDataFrame(pd.DataFrame({"_bucket": np.arange(1 << bits), "_before": starts}))
+    keys = df.select(F.col(key).alias("_key"), hash32(seed, key).alias("_hash")).withColumn("_bucket", F.shiftrightunsigned("_hash", 32 - bits))
+    inside = Window.partitionBy("_bucket").orderBy("_hash", "_key")
+    local = keys.withColumn("_local", F.row_number().over(inside) - 1)
+    places = local.join(F.broadcast(offsets), "_bucket").select("_key", (F.col("_before") + F.col("_local")).alias("_place"))
+    return df.join(places, df[key].eqNullSafe(places["_key"])).select(*[df[c] for c in df.columns], F.col("_place").alias(out))
 
 
 def exact_split(
     df: DataFrame, key: str, train: float = 0.7, val: float = 0.2, test: float = 0.1, seed: int = 42
 ) -> DataFrame:
-    """Split with the sizes of a two-step hold-out: ceil of each held-out part."""
-    n = df.count()
+    """Split with the sizes of a two-step hold-out: ceil of each held-out part.
+
+    One counting pass finds the two cuts; no row is moved.
+    """
+    radix = Radix.of(df, key, seed)
+    n = radix.rows
     n_held = math.ceil(round(n * (val + test), 9))
     n_test = math.ceil(round(n_held * test / (val + test), 9))
-    ranked = seeded_rank(df, key, seed, out="_pos")
-    name = F.when(F.col("_pos") < n - n_held, "train").when(F.col("_pos") < n - n_test, "val").otherwise("test")
-    return ranked.withColumn("split", name).drop("_pos")
+    return df.withColumn("split", F.when(radix.below(n - n_held), "train").when(radix.below(n - n_test), "val").otherwise("test"))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen by seed; all rows when there are fewer."""
-    return seeded_rank(df, key, seed, out="_pos", first=n).drop("_pos")
+    """n rows chosen by seed; all rows when there are fewer. No row is moved."""
+    return df.where(Radix.of(df, key, seed).below(n))
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, epoch: int = 0) -> DataFrame:

@@ -72,3 +72,26 @@ def test_kernels_need_no_package_on_workers(tmp_path, sf):
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=240)
     assert "rows 25000" in out.stdout, out.stderr[-2000:]
+
+
+def test_ranks_move_keys_only(spark):
+    """No whole row and no whole table goes through a window or one task, however small the table."""
+    df = spark.range(50).withColumn("payload", F.repeat(F.lit("x"), 1000))
+    plan = split.seeded_rank(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert "payload" not in window
+    for cut in (split.exact_split(df, "id"), split.seeded_sample(df, "id", 7)):
+        assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cuts_equal_ranks(spark, monkeypatch):
+    """Radix selection cuts where the ranking does, also where many keys share a bucket or a hash."""
+    monkeypatch.setattr(split, "hash32", lambda seed, key: F.pmod(F.hash(F.lit(str(seed)), F.col(key)).cast("bigint"), F.lit(97)) * 3)
+    for df in (spark.range(2000), spark.range(2000).select(F.concat(F.lit("k"), F.col("id")).alias("id"))):
+        place = {r["id"]: r["pos"] for r in split.seeded_rank(df, "id").collect()}
+        assert sorted(place.values()) == list(range(2000))
+        for n in (0, 1, 2, 500, 777, 1999, 2000, 5000):
+            assert {r["id"] for r in split.seeded_sample(df, "id", n).collect()} == {k for k, p in place.items() if p < n}
+        parts = {r["id"]: r["split"] for r in split.exact_split(df, "id").collect()}
+        assert all(parts[k] == ("train" if p < 1400 else "val" if p < 1800 else "test") for k, p in place.items())
