@@ -4,7 +4,6 @@ message texts."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,59 +65,72 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, RULE_SCHEMA)
 
 
-def metric_ticks(events: DataFrame, length: str = "5 minutes") -> DataFrame:
-    """(tick, endpoint, action, metric, value): what the rules look at, per 30 s.
+def with_score_gauges(events: DataFrame) -> DataFrame:
+    """Count, sums and range of each event's scores, from ``scores`` (a batch) or ``score``."""
+    if "scores" in events.columns:
+        seen = F.filter("scores", lambda v: v.isNotNull())
+        zero = F.lit(0.0)
+        parts = {
+            "_scores": F.coalesce(F.size(seen), F.lit(0)),
+            "_score_sum": F.aggregate(F.coalesce(seen, F.array().cast("array<double>")), zero, lambda a, v: a + v),
+            "_score_squares": F.aggregate(F.coalesce(seen, F.array().cast("array<double>")), zero, lambda a, v: a + v * v),
+        }
+        return telemetry.with_score_range(events.withColumns(parts))
+    score = F.col("score")
+    parts = {"_scores": F.when(score.isNull(), 0).otherwise(1), "_score_sum": F.coalesce(score, F.lit(0.0)),
+             "_score_squares": F.coalesce(score * score, F.lit(0.0)), "score_min": score, "score_max": score}
+    return events.withColumns(parts)
+
+
+def metric_ticks(events: DataFrame, length: str = "5 minutes", starts: DataFrame | None = None) -> DataFrame:
+    """(at, tick, endpoint, action, metric, value): what the rules look at, per 30 s.
 
     Rates and quantiles are kept per action, the rest per endpoint (action '').
-    One pass over the events per label set, all metrics of it together. Dimension
-    and score bounds are gauges: the value of the newest event of the window, by
-    time and then by ``event_id``.
+    The events are read once: steps of (30 s, endpoint, action) are rolled up both
+    ways as they are added to windows. Dimension and score bounds are gauges: those of the
+    newest event of the window, by time and then by ``event_id``; score bounds are the
+    least and the greatest of its batch. ``starts`` are the first requests of the workers
+    (found in ``events`` unless given, as a stream must). The same plan serves a batch
+    and a stream; ``at`` is the window's event time, just before the tick.
     """
-    newest = F.struct("ts", *([F.col("event_id")] if "event_id" in events.columns else []))
-    per_action = telemetry.sliding(
-        events,
-        ["endpoint", "action"],
-        {"n": F.count("*"), "failed": F.count_if(F.col("status") != "success"),
-         **bucket_columns(F.col("duration_s"), LATENCY_BOUNDS)},
-        length,
-    ).withColumns(
-        {"error_rate": F.col("failed") / F.col("n"), "latency_p95": quantile(bucket_counts(LATENCY_BOUNDS), LATENCY_BOUNDS, 0.95)}
+    newest = ["ts", *(["event_id"] if "event_id" in events.columns else []), "dimension", "score_min", "score_max"]
+    partials = {
+        "n": F.count("*"), "failed": F.count_if(F.col("status") != "success"),
+        **bucket_columns(F.col("duration_s"), LATENCY_BOUNDS),
+        "inference": F.sum("inference_s"), "inferences": F.count("inference_s"), "cost": F.sum("cost"),
+        "seen": F.max(F.struct(*newest)),
+        "s": F.sum("_score_sum"), "ss": F.sum("_score_squares"), "scores": F.sum("_scores"),
+    }
+    steps = with_score_gauges(events).groupBy(F.window("ts", telemetry.STEP).alias("w"), "endpoint", "action").agg(
+        *[c.alias(n) for n, c in partials.items()]
     )
-    per_endpoint = telemetry.sliding(
-        events,
-        ["endpoint"],
-        {"n": F.count("*"), "inference": F.sum("inference_s"), "inferences": F.count("inference_s"),
-         "cost": F.sum("cost"), "seen": F.max(newest), "last_dimension": F.max_by("dimension", newest), "last_score": F.max_by("score", newest),
-         "s": F.sum("score"), "ss": F.sum(F.col("score") * F.col("score")), "scores": F.count("score")},
-        length,
-        merge={"seen": F.max, "last_dimension": lambda c: F.max_by(c, "seen"), "last_score": lambda c: F.max_by(c, "seen")},
-    ).withColumns(
-        {
-            "action": F.lit(""),
-            "inference_mean": F.try_divide(F.col("inference"), F.col("inferences")),
-            "cost_per_1k": 1000 * F.col("cost") / F.col("n"),
-            "dimension": F.col("last_dimension").cast("double"),
-            "score_min": F.col("last_score"),
-            "score_max": F.col("last_score"),
-            "score_stddev": F.sqrt(
-                F.greatest(F.col("ss") / F.col("scores") - F.pow(F.col("s") / F.col("scores"), F.lit(2)), F.lit(0.0))
-            ),
-        }
-    )
-    starts = telemetry.cold_start_rate(telemetry.cold_starts(events)).withColumns(
-        {"action": F.lit(""), "cold_start_rate": F.col("rate")}
+    scopes = F.explode(F.array(F.struct(F.lit(False).alias("whole"), "action"), F.struct(F.lit(True).alias("whole"), F.lit("").alias("action"))))
+    both = steps.withColumn("_scope", scopes).select("w", "endpoint", "_scope.*", *partials)
+    windows = both.groupBy(F.window(F.window_time("w"), length, telemetry.STEP).alias("w"), "endpoint", "whole", "action").agg(
+        *[(F.max if n == "seen" else F.sum)(n).alias(n) for n in partials]
     )
-    long = [
-        _long(per_action, ["error_rate", "latency_p95"]),
-        _long(per_endpoint, ["inference_mean", "cost_per_1k", "dimension", "score_min", "score_max", "score_stddev"]),
-        _long(starts, ["cold_start_rate"]),
-    ]
-    return reduce(DataFrame.unionByName, long)
-
-
-def _long(windows: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    rows = windows.select(F.col("window_end").alias("tick"), "endpoint", "action", *metrics)
-    return rows.unpivot(["tick", "endpoint", "action"], list(metrics), "metric", "value").where(F.col("value").isNotNull())
+    mean = F.try_divide(F.col("s"), F.col("scores"))
+    spread = F.sqrt(F.greatest(F.try_divide(F.col("ss"), F.col("scores")) - mean * mean, F.lit(0.0)))
+    per_action = {"error_rate": F.col("failed") / F.col("n"), "latency_p95": quantile(bucket_counts(LATENCY_BOUNDS), LATENCY_BOUNDS, 0.95)}
+    per_endpoint = {
+        "inference_mean": F.try_divide(F.col("inference"), F.col("inferences")),
+        "cost_per_1k": 1000 * F.col("cost") / F.col("n"),
+        "dimension": F.col("seen.dimension").cast("double"),
+        "score_min": F.col("seen.score_min"),
+        "score_max": F.col("seen.score_max"),
+        "score_stddev": spread,
+    }
+    measured = _long(windows, {**{m: F.when(~F.col("whole"), v) for m, v in per_action.items()}, **{m: F.when(F.col("whole"), v) for m, v in per_endpoint.items()}})
+    first = telemetry.cold_starts(events) if starts is None else starts
+    hourly = telemetry.sliding(first, ["endpoint"], {"increase": F.count("*")}, "1 hour", keep="w").withColumn("action", F.lit(""))
+    return measured.unionByName(_long(hourly, {"cold_start_rate": F.col("increase") / telemetry.seconds_of("1 hour")}))
+
+
+def _long(windows: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    # Not unpivot: the window's event time must stay the same column in a stream.
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in metrics.items()])
+    rows = windows.select(F.window_time("w").alias("at"), F.col("w.end").alias("tick"), "endpoint", "action", F.explode(values).alias("_m"))
+    return rows.select("at", "tick", "endpoint", "action", "_m.metric", "_m.value").where(F.col("value").isNotNull())
 
 
 def _holds(op: Column, value: Column, threshold: Column) -> Column:
@@ -130,43 +142,51 @@ def _holds(op: Column, value: Column, threshold: Column) -> Column:
     )
 
 
+def met(ticks: DataFrame, rules: DataFrame) -> DataFrame:
+    """Ticks joined with the rules that hold at them. ``rules`` is a short fixed table."""
+    return ticks.join(F.broadcast(rules), ["endpoint", "metric"]).where(_holds(F.col("op"), F.col("value"), F.col("threshold")))
+
+
 def conditions(ticks: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per alert instance and tick at which its expression is true.
 
-    Rules of one name are alternatives. ``rules`` is a short fixed table.
+    Rules of one name are alternatives.
     """
     meta = ["for_seconds", "severity", "category", "summary", "description"]
-    met = ticks.join(F.broadcast(rules), ["endpoint", "metric"]).where(
-        _holds(F.col("op"), F.col("value"), F.col("threshold"))
-    )
-    return met.groupBy(*KEYS, "tick", *meta).agg(F.max("value").alias("value"))
+    return met(ticks, rules).groupBy(*KEYS, "tick", *meta).agg(F.max("value").alias("value"))
+
 
+def episodes(true_ticks: DataFrame, tick_seconds: int = TICK_SECONDS, gap_seconds: int | None = None) -> DataFrame:
+    """Runs of true ticks per alert instance: start, end, and the tick and value at
+    which the run has lasted ``for_seconds`` (else null).
 
-def episodes(true_ticks: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
-    """Runs of consecutive true ticks per alert instance: start, end, and the
-    tick and value at which the run has lasted ``for_seconds`` (else null)."""
+    Ticks more than ``gap_seconds`` apart (one tick unless given) are different runs.
+    """
+    gap = gap_seconds or tick_seconds
     carried = [c for c in ("for_seconds", "severity", "category", "summary", "description") if c in true_ticks.columns]
     seconds = F.unix_seconds(F.col("tick").cast("timestamp"))
     order = Window.partitionBy(*KEYS).orderBy("tick")
-    marked = true_ticks.withColumn("_run", seconds - tick_seconds * F.row_number().over(order))
-    run = Window.partitionBy(*KEYS, "_run")
-    due = marked.withColumn("_first", F.min("tick").over(run)).withColumn(
-        "_age", seconds - F.unix_seconds(F.col("_first").cast("timestamp"))
-    )
+    begins = F.coalesce(seconds - F.lag(seconds).over(order) > gap, F.lit(True))
+    marked = true_ticks.withColumn("_begin", F.when(begins, F.col("tick"))).withColumn("_first", F.last("_begin", ignorenulls=True).over(order))
+    age = seconds - F.unix_seconds(F.col("_first").cast("timestamp"))
     at = F.struct("tick", "value")
-    grouped = due.groupBy(*KEYS, "_run", *carried).agg(
-        F.min("tick").alias("started"),
+    grouped = marked.groupBy(*KEYS, "_first", *carried).agg(
         F.max("tick").alias("last_true"),
         F.min_by("value", "tick").alias("start_value"),
         F.max_by("value", "tick").alias("last_value"),
-        F.min(F.when(F.col("_age") >= F.col("for_seconds"), at)).alias("_fire"),
+        F.min(F.when(age >= F.col("for_seconds"), at)).alias("_fire"),
     )
-    return grouped.withColumns({"fired": F.col("_fire.tick"), "fire_value": F.col("_fire.value")}).drop("_run", "_fire")
+    named = {"started": F.col("_first"), "fired": F.col("_fire.tick"), "fire_value": F.col("_fire.value")}
+    return grouped.withColumns(named).drop("_first", "_fire")
+
 
+def transitions(runs: DataFrame, gap_seconds: int = TICK_SECONDS, until: Column | None = None) -> DataFrame:
+    """Rows (…, status, starts_at, changed_at, value) for pending, firing, resolved.
 
-def transitions(runs: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
-    """Rows (…, status, starts_at, changed_at, value) for pending, firing, resolved."""
-    step = F.expr(f"INTERVAL {tick_seconds} SECONDS")
+    What would come after ``until`` (the time up to which there are events) has not
+    happened: a run that is still true then is not resolved.
+    """
+    step = F.expr(f"INTERVAL {gap_seconds} SECONDS")
     row = lambda status, at, value: F.struct(
         F.lit(status).alias("status"), at.alias("changed_at"), value.alias("value")
     )
@@ -176,9 +196,43 @@ def transitions(runs: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
         row("resolved", F.when(F.col("fired").isNotNull(), F.col("last_true") + step), F.col("last_value")),
     )
     meta = [c for c in ("severity", "category", "summary", "description") if c in runs.columns]
-    return runs.select(*KEYS, *meta, F.col("started").alias("starts_at"), F.inline(changes)).where(
-        F.col("changed_at").isNotNull()
+    rows = runs.select(*KEYS, *meta, F.col("started").alias("starts_at"), F.inline(changes)).where(F.col("changed_at").isNotNull())
+    return rows if until is None else rows.where(F.col("changed_at") <= until)
+
+
+def down_changes(silences: DataFrame, rules: DataFrame, until: Column | None = None) -> DataFrame:
+    """Changes of the rules on ``silent_seconds``, from ``absences`` of the rules' thresholds.
+
+    Such an alert is pending and firing once the silence has lasted the threshold,
+    and resolved by the next event.
+    """
+    down = F.broadcast(rules.where(F.col("metric") == "silent_seconds"))
+    since = F.unix_seconds(F.col("silent_since").cast("timestamp"))
+    waited = F.unix_seconds(F.col("fired_at").cast("timestamp")) - since
+    mine = silences.join(down, "endpoint").where(waited == F.col("threshold"))
+    runs = F.array(
+        *[F.struct(F.lit(status).alias("status"), F.col("fired_at").alias("changed_at"), F.col("threshold").alias("value")) for status in ("pending", "firing")],
+        F.struct(F.lit("resolved").alias("status"), F.col("resolved_at").alias("changed_at"),
+                 (F.unix_seconds(F.col("resolved_at").cast("timestamp")) - since).cast("double").alias("value")),
     )
+    rows = mine.select(
+        "alertname", "endpoint", F.lit("").alias("action"), "severity", "category", "summary", "description", F.col("fired_at").alias("starts_at"), F.inline(runs)
+    ).where(F.col("changed_at").isNotNull())
+    return rows if until is None else rows.where(F.col("changed_at") <= until)
+
+
+def all_changes(events: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every change of every alert up to the newest event, silences included."""
+    newest = events.agg(F.max("ts")).scalar()
+    changes = transitions(episodes(conditions(metric_ticks(events), rules)), until=newest)
+    for limit in silence_limits(rules):
+        changes = changes.unionByName(down_changes(absences(events, limit, until=newest), rules, newest))
+    return changes
+
+
+def silence_limits(rules: DataFrame) -> list[int]:
+    """Thresholds of the rules on silence; ``rules`` is a short fixed table."""
+    return sorted({int(r["threshold"]) for r in rules.where(F.col("metric") == "silent_seconds").select("threshold").collect()})
 
 
 def absences(

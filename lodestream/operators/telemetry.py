@@ -25,17 +25,21 @@ def sliding(
     length: str,
     step: str = STEP,
     merge: Mapping[str, Callable[[str], Column]] | None = None,
+    keep: str | None = None,
 ) -> DataFrame:
     """(window_start, window_end, by…, partials…) over windows [start, end).
 
     ``partials`` are aggregates of one step; they are merged by sum unless
-    ``merge`` gives another aggregate. A window without events has no row.
+    ``merge`` gives another aggregate. A window without events has no row. With
+    ``keep`` the window stays a column of that name, for further event-time steps.
     """
     merge = merge or {}
     stepped = events.groupBy(F.window("ts", step).alias("w"), *by).agg(*[c.alias(n) for n, c in partials.items()])
     rolled = stepped.groupBy(F.window(F.window_time("w"), length, step).alias("w"), *by).agg(
         *[merge.get(n, F.sum)(n).alias(n) for n in partials]
     )
+    if keep:
+        return rolled.select(F.col("w").alias(keep), *by, *partials)
     return rolled.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, *partials)
 
 

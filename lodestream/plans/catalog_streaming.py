@@ -19,6 +19,7 @@ from lodestream.session import checkpoint_dir
 from lodestream.streaming import alerts as stream_alerts
 from lodestream.streaming import logs as stream_logs
 from lodestream.streaming import telemetry as stream_telemetry
+from lodestream.streaming.session import state_settings
 
 
 def _raw_events(spark, sf):
@@ -89,29 +90,72 @@ def stream_cold_starts(spark, sf):
     return _plain_time(_drained(spark, stream_telemetry.cold_starts(_events(spark, sf))), "ts")
 
 
-@query(
-    "stream_alert_changes",
-    f"""
-    WITH t AS ({ORACLES["alert_sustained"]}),
-    last_tick AS (SELECT max(tick) AS newest FROM ({ORACLES["alert_rules"]}))
-    SELECT * FROM t WHERE status <> 'resolved' OR changed_at < (SELECT newest - INTERVAL 1 MINUTE FROM last_tick)
-    """,
-)
-def stream_alert_changes(spark, sf):
-    """Saved state per alert over a stored table of true ticks.
-
-    What resolves after the watermark's last position is still open.
-    """
+def _stored_ticks(spark, sf):
+    """True ticks of all alerts as a stored table, read as a stream."""
     folder = _folder(spark)
     ticks = batch._conditions(spark, sf).select(
         "alertname", "severity", "endpoint", "action", "for_seconds", F.col("tick").cast("timestamp").alias("tick"), "value"
     )
     ticks.write.parquet(f"{folder}/ticks")
-    stored = spark.readStream.schema(spark.read.parquet(f"{folder}/ticks").schema).parquet(f"{folder}/ticks")
-    rows = _drained(spark, stream_alerts.alert_changes(stored))
+    return spark.readStream.schema(spark.read.parquet(f"{folder}/ticks").schema).parquet(f"{folder}/ticks")
+
+
+def _changes(rows):
     return _plain_time(rows.withColumn("value", F.round("value", 9)), "starts_at", "changed_at")
 
 
+def _tick_changes_sql(gap: int) -> str:
+    # The watermark follows the newest true tick, a minute behind.
+    passed = "(SELECT max(tick) - INTERVAL 1 MINUTE FROM cond)"
+    return f"""
+    WITH {batch.changes_sql(f"tick <= {passed}", gap)}
+    SELECT alertname, endpoint, action, severity, status, starts_at, changed_at, round(value, 9) AS value FROM tr
+    WHERE status <> 'resolved' OR changed_at < {passed}
+    """
+
+
+@query("stream_alert_changes", _tick_changes_sql(30))
+def stream_alert_changes(spark, sf):
+    """Saved state per alert over a stored table of true ticks.
+
+    What resolves after the watermark's last position is still open.
+    """
+    return _changes(_drained(spark, stream_alerts.alert_changes(_stored_ticks(spark, sf))))
+
+
+@query("stream_alert_timeouts", _tick_changes_sql(300))
+def stream_alert_timeouts(spark, sf):
+    """An alert that is silent for five minutes is resolved; a tick before that keeps it."""
+    return _changes(_drained(spark, stream_alerts.alert_changes(_stored_ticks(spark, sf), silence_seconds=300)))
+
+
+_PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MINUTE FROM events)"
+
+
+@query(
+    "stream_alerts_from_events",
+    f"""
+    WITH {batch.changes_sql(f"tick <= {_PASSED}")}, {batch.DOWN_SQL}
+    SELECT alertname, endpoint, action, severity, status, starts_at, changed_at, round(value, 9) AS value
+    FROM (SELECT * FROM tr WHERE status <> 'resolved' OR changed_at < {_PASSED}
+          UNION ALL SELECT * FROM dn WHERE CASE WHEN status = 'resolved' THEN changed_at + INTERVAL 30 SECOND ELSE changed_at END < {_PASSED})
+    """,
+)
+def stream_alerts_from_events(spark, sf):
+    """R10, R11 live: events to ticks to rules to changes in one stream."""
+    with state_settings(spark, partitions=4):
+        events = stream_telemetry.timed(views.with_scores(views.as_requests(spark, _raw_events(spark, sf))))
+        return _changes(_drained(spark, stream_alerts.live_changes(events, alerts.rule_table(spark))))
+
+
+@query("stream_cold_start_rate", _closed("cold_starts_1h"))
+def stream_cold_start_rate(spark, sf):
+    """First requests by keyed state, then windows of them, in one stream."""
+    with state_settings(spark, partitions=4):
+        rows = _drained(spark, telemetry.cold_start_rate(stream_telemetry.first_requests(_events(spark, sf))))
+    return _plain_time(rows, "window_start", "window_end").withColumn("rate", F.round("rate", 9))
+
+
 @query("stream_error_log", f"SELECT * FROM ({ORACLES['parsed_log']}) WHERE level = 'ERROR'")
 def stream_error_log(spark, sf):
     """Log files read as a stream, errors kept."""

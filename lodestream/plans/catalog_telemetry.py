@@ -325,19 +325,30 @@ def late_events(spark, sf):
 
 # --- alerts --------------------------------------------------------------------------
 
-_RULE_ROWS = ", ".join(
-    "(" + ", ".join("NULL" if v is None else repr(v) if not isinstance(v, str) else "'" + v.replace("'", "''") + "'" for v in r[:8]) + ")"
-    for r in alerts.RULES
-)
+# Written out here, so that the operator's own table is checked too.
+_RULES = """rules(alertname, endpoint, metric, op, threshold, for_seconds, severity, category) AS (VALUES
+    ('BiEncoderHighErrorRate', 'bi-encoder', 'error_rate', '>', 0.01, 300, 'critical', 'reliability'),
+    ('BiEncoderHighLatency', 'bi-encoder', 'latency_p95', '>', 0.1, 300, 'warning', 'performance'),
+    ('BiEncoderSlowInference', 'bi-encoder', 'inference_mean', '>', 0.05, 300, 'warning', 'performance'),
+    ('BiEncoderInvalidDimension', 'bi-encoder', 'dimension', '!=', 768, 60, 'critical', 'model_quality'),
+    ('BiEncoderFrequentRestarts', 'bi-encoder', 'cold_start_rate', '>', 0.1, 600, 'warning', 'operability'),
+    ('BiEncoderHighCost', 'bi-encoder', 'cost_per_1k', '>', 0.1, 3600, 'info', 'cost'),
+    ('CrossEncoderHighErrorRate', 'cross-encoder', 'error_rate', '>', 0.01, 300, 'critical', 'reliability'),
+    ('CrossEncoderHighLatency', 'cross-encoder', 'latency_p95', '>', 0.3, 300, 'warning', 'performance'),
+    ('CrossEncoderInvalidScores', 'cross-encoder', 'score_min', '<', 0, 60, 'critical', 'model_quality'),
+    ('CrossEncoderInvalidScores', 'cross-encoder', 'score_max', '>', 1, 60, 'critical', 'model_quality'),
+    ('CrossEncoderScoreDistribution', 'cross-encoder', 'score_stddev', '<', 0.05, 900, 'warning', 'model_quality'))"""
+_SCORED = f"e AS ({views.SCORED_EVENTS_SQL})"
 _CONDITIONS = f"""
-    {_E}, {_windows(10)},
-    rules(alertname, endpoint, metric, op, threshold, for_seconds, severity, category) AS (VALUES {_RULE_ROWS}),
+    {_SCORED}, {_windows(10)}, {_RULES},
     pa AS (SELECT window_end AS tick, endpoint, action, count(*) FILTER (WHERE status <> 'success') / count(*) AS error_rate,
              {_bucket_list("duration_s", hist.LATENCY_BOUNDS)} FROM w GROUP BY ALL),
     pq AS (SELECT *, {_quantile_sql("latency_p95", 0.95, hist.LATENCY_BOUNDS)} FROM pa),
     pe AS (SELECT window_end AS tick, endpoint, '' AS action, avg(inference_s) AS inference_mean, 1000 * sum(cost) / count(*) AS cost_per_1k,
-             CAST(arg_max(dimension, event_id) AS DOUBLE) AS dimension, arg_max(score, event_id) AS score_min, arg_max(score, event_id) AS score_max,
-             stddev_pop(score) AS score_stddev FROM w GROUP BY ALL),
+             CAST(arg_max(dimension, event_id) AS DOUBLE) AS dimension, arg_max(least(s1, s2), event_id) AS score_min,
+             arg_max(greatest(s1, s2), event_id) AS score_max,
+             sqrt(greatest((sum(s1 * s1) + sum(s2 * s2)) / (2 * count(*)) - ((sum(s1) + sum(s2)) / (2 * count(*))) ** 2, 0)) AS score_stddev
+           FROM w GROUP BY ALL),
     cs AS (SELECT endpoint, worker_id, min(ts) AS ts FROM e GROUP BY ALL),
     cw AS (SELECT time_bucket(INTERVAL '30 seconds', ts) + (120 - i) * INTERVAL 30 SECOND AS tick, endpoint, '' AS action,
              count(*) / 3600.0 AS cold_start_rate FROM cs, range(0, 120) t(i) GROUP BY ALL),
@@ -352,12 +363,15 @@ _CONDITIONS = f"""
       UNION ALL SELECT tick, endpoint, action, 'cold_start_rate', cold_start_rate FROM cw),
     cond AS (SELECT alertname, m.endpoint, action, tick, for_seconds, severity, category, max(value) AS value FROM m
       JOIN rules r ON r.endpoint = m.endpoint AND r.metric = m.metric
-      WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold WHEN '!=' THEN value <> threshold
-            WHEN '>=' THEN value >= threshold END GROUP BY ALL)
+      WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold WHEN '!=' THEN value <> threshold END GROUP BY ALL)
 """
-_TRANSITIONS = f"""
+
+
+def changes_sql(known: str = "true", gap: int = 30) -> str:
+    """CTEs up to ``tr``: the changes of the runs of true ticks, from the ticks that are ``known``."""
+    return f"""
     {_CONDITIONS},
-    marked AS (SELECT *, CASE WHEN tick - lag(tick) OVER k = INTERVAL 30 SECOND THEN 0 ELSE 1 END AS starts FROM cond
+    marked AS (SELECT *, CASE WHEN tick - lag(tick) OVER k <= INTERVAL {gap} SECOND THEN 0 ELSE 1 END AS starts FROM cond WHERE {known}
                WINDOW k AS (PARTITION BY alertname, endpoint, action ORDER BY tick)),
     runs AS (SELECT *, sum(starts) OVER (PARTITION BY alertname, endpoint, action ORDER BY tick) AS run FROM marked),
     begun AS (SELECT *, min(tick) OVER (PARTITION BY alertname, endpoint, action, run) AS started FROM runs),
@@ -367,18 +381,35 @@ _TRANSITIONS = f"""
            FROM begun GROUP BY alertname, endpoint, action, severity, run, started),
     tr AS (SELECT alertname, endpoint, action, severity, 'pending' AS status, started AS starts_at, started AS changed_at, start_value AS value FROM ep
       UNION ALL SELECT alertname, endpoint, action, severity, 'firing', started, fired, fire_value FROM ep WHERE fired IS NOT NULL
-      UNION ALL SELECT alertname, endpoint, action, severity, 'resolved', started, last_true + INTERVAL 30 SECOND, last_value FROM ep
+      UNION ALL SELECT alertname, endpoint, action, severity, 'resolved', started, last_true + INTERVAL {gap} SECOND, last_value FROM ep
         WHERE fired IS NOT NULL)
 """
 
 
+# The bi-encoder is down once it has been silent for two minutes.
+DOWN_SQL = """
+    quiet AS (SELECT s + INTERVAL 30 SECOND AS since, lead(s) OVER (ORDER BY s) AS resolved_at
+              FROM (SELECT DISTINCT time_bucket(INTERVAL '30 seconds', ts) AS s FROM e WHERE endpoint = 'bi-encoder')),
+    down AS (SELECT *, since + INTERVAL 120 SECOND AS fired_at FROM quiet
+             WHERE epoch(coalesce(resolved_at, (SELECT max(ts) FROM e)))::BIGINT - epoch(since)::BIGINT >= 120),
+    dn AS (SELECT 'BiEncoderDown' AS alertname, 'bi-encoder' AS endpoint, '' AS action, 'critical' AS severity, status, fired_at AS starts_at,
+             fired_at AS changed_at, 120.0::DOUBLE AS value FROM down, (VALUES ('pending'), ('firing')) s(status)
+      UNION ALL SELECT 'BiEncoderDown', 'bi-encoder', '', 'critical', 'resolved', fired_at, resolved_at,
+             (epoch(resolved_at)::BIGINT - epoch(since)::BIGINT)::DOUBLE FROM down WHERE resolved_at IS NOT NULL)
+"""
+# All that has happened by the newest event.
+_TRANSITIONS = f"""{changes_sql()}, {DOWN_SQL},
+    al0 AS (SELECT * FROM (SELECT * FROM tr UNION ALL SELECT * FROM dn) WHERE changed_at <= (SELECT max(ts) FROM e))
+"""
+
+
 def _conditions(spark, sf):
-    ticks = alerts.metric_ticks(views.request_events(spark, sf))
+    ticks = alerts.metric_ticks(views.scored_events(spark, sf))
     return alerts.conditions(ticks, alerts.rule_table(spark))
 
 
 def _transitions(spark, sf):
-    return alerts.transitions(alerts.episodes(_conditions(spark, sf)))
+    return alerts.all_changes(views.scored_events(spark, sf), alerts.rule_table(spark))
 
 
 @query(
@@ -393,10 +424,10 @@ def alert_rules(spark, sf):
 
 @query(
     "alert_sustained",
-    f"WITH {_TRANSITIONS} SELECT alertname, endpoint, action, severity, status, starts_at, changed_at, round(value, 9) AS value FROM tr",
+    f"WITH {_TRANSITIONS} SELECT alertname, endpoint, action, severity, status, starts_at, changed_at, round(value, 9) AS value FROM al0",
 )
 def alert_sustained(spark, sf):
-    """W6, batch form of R10 and R13."""
+    """W6, batch form of R10 and R11: all changes up to the newest event."""
     rows = _transitions(spark, sf)
     return rows.select("alertname", "endpoint", "action", "severity", "status", "starts_at", "changed_at", F.round("value", 9).alias("value"))
 
@@ -446,7 +477,7 @@ def _alerts_sql() -> str:
     {_TRANSITIONS}, notes(alertname, category, summary, description) AS (VALUES {notes}),
     al AS (SELECT strftime(changed_at, '%Y-%m-%d') AS batch_id, alertname, severity, category, endpoint || '/' || action AS endpoint, status, changed_at,
              summary, replace(replace(description, '{{value}}', printf('%.6f', value)), '{{endpoint}}', endpoint) AS description
-           FROM tr JOIN notes USING (alertname) WHERE status <> 'pending'),
+           FROM al0 JOIN notes USING (alertname) WHERE status <> 'pending'),
     msg AS (SELECT *, CASE status WHEN 'firing' THEN '🚨 *FIRING* ' ELSE '✅ *RESOLVED* ' END
         || CASE severity WHEN 'critical' THEN '🔴 ' WHEN 'warning' THEN '⚠️ ' ELSE 'ℹ️ ' END
         || CASE category WHEN 'reliability' THEN '💀' WHEN 'performance' THEN '⚡' WHEN 'model_quality' THEN '🎯' WHEN 'operability' THEN '🔧'

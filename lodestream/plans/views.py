@@ -30,6 +30,9 @@ SELECT event_id, ts,
        concat('w', CAST(user_id % 20 AS BIGINT)) AS worker_id
 FROM events"""
 
+# Each request's batch of two scores, as columns s1 and s2 for SQL.
+SCORED_EVENTS_SQL = f"SELECT *, score AS s1, score + CAST(event_id % 5 AS DOUBLE) / 10 - CAST(0.2 AS DOUBLE) AS s2 FROM ({REQUEST_EVENTS_SQL})"
+
 TRAIN_SQL = """
 SELECT u.conv_id * 1000 + u.turn AS qid, u.text AS question, a.conv_id * 1000 + a.turn AS cid, a.text AS reply
 FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -58,6 +61,16 @@ def request_events(spark: SparkSession, sf: str) -> DataFrame:
     return as_requests(spark, table(spark, sf, "events"))
 
 
+def with_scores(events: DataFrame) -> DataFrame:
+    """Request events, table or stream, with a batch of two scores each instead of one."""
+    second = F.col("score") + (F.col("event_id") % 5).cast("double") / 10 - F.lit(0.2)
+    return events.withColumn("scores", F.array("score", second)).drop("score")
+
+
+def scored_events(spark: SparkSession, sf: str) -> DataFrame:
+    return with_scores(request_events(spark, sf))
+
+
 def train_pairs(spark: SparkSession, sf: str) -> DataFrame:
     sql = TRAIN_SQL.replace("conversations", "{conversations}")
     return spark.sql(sql, conversations=table(spark, sf, "conversations"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 LATE_LIMIT = "168 hours"
 
@@ -56,6 +56,56 @@ def cold_starts(events: DataFrame, forget_after: timedelta = timedelta(days=30))
     )
 
 
+class _FirstRequests(StatefulProcessor):
+    """First time of one worker; told once the watermark has passed it, forgotten after a long silence."""
+
+    def __init__(self, keep_ms: int):
+        self.keep = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "first bigint, last bigint, told boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        old = self.seen.get() if self.seen.exists() else None
+        stamps = [batch["ts"].astype("datetime64[us]").astype("int64") for batch in rows if len(batch)]
+        low, high = min(int(s.min()) for s in stamps), max(int(s.max()) for s in stamps)
+        first, last, told = old or (low, high, False)
+        new = (first if told else min(first, low), max(last, high), told)
+        if new != old:
+            self.seen.update(new)
+            # Timers are few: one to tell the first time, then one to forget.
+            for due in self.handle.listTimers():
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(self._due(new))
+        return iter(())
+
+    def _due(self, seen: tuple) -> int:
+        first, last, told = seen
+        return (last // 1000 + self.keep if told else first // 1000) + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        first, last, told = self.seen.get()
+        if told:
+            self.seen.clear()
+            return
+        self.seen.update((first, last, True))
+        self.handle.registerTimer(self._due((first, last, True)))
+        yield pd.DataFrame({"endpoint": [key[0]], "worker_id": [key[1]], "ts": [pd.Timestamp(first, unit="us")]})
+
+    def close(self) -> None:
+        pass
+
+
+def first_requests(events: DataFrame, forget_after: timedelta = timedelta(days=30)) -> DataFrame:
+    """``cold_starts`` with an event time, so that windows can follow in the same stream."""
+    keyed = events.select("endpoint", "worker_id", "ts").groupBy("endpoint", "worker_id")
+    return keyed.transformWithStateInPandas(
+        _FirstRequests(int(forget_after.total_seconds() * 1000)),
+        "endpoint string, worker_id string, ts timestamp", "append", "EventTime", eventTimeColumnName="ts",
+    )
+
+
 def run_windows(
     events: DataFrame,
     metric: Callable[[DataFrame], DataFrame],

@@ -12,6 +12,7 @@ from lodestream.sources.streams import log_stream, request_stream
 from lodestream.streaming import alerts as stream_alerts
 from lodestream.streaming import logs as stream_logs
 from lodestream.streaming import telemetry as stream_telemetry
+from lodestream.streaming.session import state_settings
 
 
 @pytest.fixture(scope="module")
@@ -155,3 +156,63 @@ def test_log_stream(spark, tmp_path):
     assert got == [("bi", "ERROR", "broken"), ("bi", "info", "free text"), ("cross", "INFO", "fine")]
     errors = stream_logs.error_stream(log_stream(spark, str(logdir / "*.log"), "svc"))
     assert spark.read.parquet(finish(errors, tmp_path)).count() == 1
+
+
+def jittered_files(spark, df, order, path, parts, seconds):
+    """Write a table as files in order of a time that is off by up to ``seconds`` per row, and read it back as a stream."""
+    noise = F.pmod(F.xxhash64(*df.columns), F.lit(2 * seconds)) - seconds
+    late = df.withColumn("_at", F.unix_seconds(F.col(order)) + noise)
+    ranked = late.select("_at").orderBy("_at").collect()
+    cuts = [ranked[len(ranked) * k // parts]["_at"] for k in range(1, parts)]
+    low = None
+    for high in [*cuts, None]:
+        inside = F.lit(True) if low is None else F.col("_at") >= low
+        inside = inside if high is None else inside & (F.col("_at") < high)
+        late.where(inside).drop("_at").coalesce(1).write.mode("append").parquet(path)
+        low = high
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("silence", [30, 300])
+def test_ticks_out_of_order_over_batches(spark, true_ticks, tmp_path, silence):
+    """Ticks up to eight minutes out of order over three batches give the batch answer; five
+    minutes of silence resolve, a tick before that keeps the alert."""
+    far = true_ticks.limit(1).withColumns(
+        {"alertname": F.lit("End"), "tick": F.lit("2030-01-01").cast("timestamp"), "for_seconds": F.lit(10**6).cast("bigint")}
+    )
+    stream = jittered_files(spark, true_ticks, "tick", str(tmp_path / "ticks"), 3, 240)
+    far.coalesce(1).write.mode("append").parquet(str(tmp_path / "ticks"))
+    got = spark.read.parquet(finish(stream_alerts.alert_changes(stream, silence_seconds=silence, delay="10 minutes"), tmp_path))
+    batch = alerts.transitions(alerts.episodes(true_ticks, gap_seconds=silence), silence).select(*got.columns)
+    assert rows(got.where("alertname != 'End'")) == rows(batch)
+
+
+def test_alert_machine_orders_and_times_out():
+    """A silent firing alert resolves five minutes after its last tick; a late tick in between revives it."""
+    follow = stream_alerts._follow_alert
+    changes, saved, due = follow(None, [(0, 1.0), (60, 3.0), (30, 2.0)], 60_000, 60, 300)
+    assert [c[0] for c in changes] == ["pending", "firing"] and due == 360
+    changes, saved, due = follow(saved, [(330, 4.0)], 200_000, 60, 300)
+    assert changes == [] and due == 330
+    changes, saved, due = follow(saved, [(320, 5.0)], 400_000, 60, 300)
+    assert changes == [] and due == 630 and saved[2] == 4.0
+    changes, saved, _ = follow(saved, [], 631_000, 60, 300)
+    assert changes == [("resolved", 0, 630, 4.0)] and saved is None
+
+
+def test_live_alerts_over_batches(spark, events, tmp_path):
+    """Events out of order over two batches, one stream from events to changes."""
+    rules = alerts.rule_table(spark)
+    some = events.where("event_id < 120")
+    far = some.limit(1).withColumns(
+        {"event_id": F.lit(10**9).cast("bigint"), "endpoint": F.lit("end"), "ts": F.lit("2030-01-01").cast("timestamp")}
+    )
+    path = str(tmp_path / "events")
+    stream = jittered_files(spark, some, "ts", path, 2, 240)
+    far.coalesce(1).write.mode("append").parquet(path)
+    with state_settings(spark, partitions=2):
+        live = stream_alerts.live_changes(stream_telemetry.timed(stream, "10 minutes"), rules)
+        got = spark.read.parquet(finish(live, tmp_path))
+    batch = alerts.all_changes(some.unionByName(far), rules).select(*got.columns)
+    shown = lambda df: rows(df.withColumn("value", F.round("value", 9)))
+    assert shown(got) == shown(batch) and got.where("alertname = 'BiEncoderDown' AND status = 'resolved'").count() > 0
