@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens of the whole text; blank or null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"\s+"), "")
 
 
 def preview(text: Column, width: int = 200) -> Column:

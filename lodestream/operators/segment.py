@@ -1,21 +1,26 @@
 """Joining multi-word units with ``_``, learned from the corpus itself.
 
-Pass 1 counts words and adjacent word pairs; a pair is a unit when
+Pass 1 counts adjacent word pairs; words follow from the pairs' counts. A pair is a unit when
 ``(n_ab - discount) * N / (n_a * n_b)`` exceeds a threshold. Pass 2 rewrites
-every text greedily from the left. The units found in a text travel with it,
-so the table of all units is never assumed to fit in one place.
+every text greedily from the left. While the units fit a measured bound, every task holds
+them and texts are rewritten where they stand; beyond it, the units found in a text travel to
+it by a semi-join. Both ways look a pair up once per word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Collection
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.functions.text import tokens
 
-_MARK = "\u0001"
+# Units a task may hold, and their characters.
+HELD_UNITS, HELD_CHARACTERS = 1_000_000, 1 << 26
+_WHITE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
 def _pairs(words: Column) -> Column:
@@ -31,15 +36,15 @@ def learn_units(
 ) -> DataFrame:
     """(pair, first, second, n, score) of every word pair that forms a unit."""
     words = corpus.select(tokens(F.col(text)).alias("words"))
-    single = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    total = single.agg(F.sum("n").alias("total"))
-    pair = (
-        words.select(F.explode(_pairs(F.col("words"))).alias("pair"))
-        .groupBy("pair")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_count)
-        .withColumns({"first": F.substring_index("pair", " ", 1), "second": F.substring_index("pair", " ", -1)})
-    )
+    # Every word is the first of one pair, the last word of a text of a pair with ''. Nothing is
+    # null, so no filter is pushed below the counting and its shuffle serves all three uses.
+    following = F.concat(F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), F.array(F.lit("")))
+    zipped = words.where(F.size("words") > 0).select(F.inline(F.arrays_zip(F.col("words").alias("first"), following.alias("second"))))
+    sure = zipped.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("first", "second")])
+    counted = sure.groupBy("first", "second").agg(F.count("*").alias("n"))
+    single = counted.groupBy(F.col("first").alias("word")).agg(F.sum("n").alias("n"))
+    total = words.agg(F.sum(F.size("words")).alias("total"))
+    pair = counted.where(F.col("n") >= min_count).withColumn("pair", F.concat_ws(" ", "first", "second"))
     scored = (
         pair.join(single.select(F.col("word").alias("first"), F.col("n").alias("n_first")), "first")
         .join(single.select(F.col("word").alias("second"), F.col("n").alias("n_second")), "second")
@@ -48,49 +53,75 @@ def learn_units(
     return scored.where(F.col("score") > threshold).select("pair", "first", "second", "n", "score")
 
 
-def rewrite(words: Column, units: Column) -> Column:
-    """Text of ``words`` in which pairs listed in ``units`` are joined by ``_``.
+def joined(text: str | None, units: Collection[str]) -> str:
+    """The words of a text with single spaces, pairs listed in ``units`` joined by ``_``.
 
-    A joinable gap is marked and a single left-to-right replacement consumes
-    two words at a time, so a word never joins on both sides.
+    From the left, a word joins one neighbour at most.
     """
-    following = F.concat(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    # Zipping evaluates the word array once; indexing it inside a lambda would
-    # split the text again for every word.
-    pieces = F.zip_with(
-        words,
-        following,
-        lambda w, n: F.when(n.isNull(), F.coalesce(w, F.lit("")))
-        .when(F.array_contains(units, F.concat_ws(" ", w, n)), F.concat(w, F.lit(_MARK)))
-        .otherwise(F.concat(w, F.lit(" "))),
-    )
-    marked = F.array_join(pieces, "")
-    joined = F.regexp_replace(marked, f"(?<![^ {_MARK}])([^ {_MARK}]++){_MARK}([^ {_MARK}]++)", "$1_$2")
-    return F.translate(joined, _MARK, " ")
+    words = [w for w in _WHITE.split(text or "") if w]
+    free = 0
+    for i, pair in enumerate(map(" ".join, zip(words, words[1:]))):
+        if pair in units and i >= free:
+            words[i], words[i + 1] = f"{words[i]}_{words[i + 1]}", ""
+            free = i + 2
+    return " ".join(filter(None, words)) if free else " ".join(words)
+
+
+def _held(units: DataFrame, most: int) -> frozenset[str] | None:
+    """The units, if there are no more than the bound; one look at the table either way."""
+    sized = units.select("pair").limit(most + 1).toArrow().column(0)
+    if len(sized) > most or sized.nbytes > HELD_CHARACTERS:
+        return None
+    return frozenset(sized.to_pylist())
+
+
+def segment(docs: DataFrame, units: DataFrame, key: str, text: str = "text", held_units: int = HELD_UNITS) -> DataFrame:
+    """Rewrite ``text`` of every row; null → '', a text without units keeps its words.
 
+    ``units`` is looked at when this is called; store what was learned
+    (``learn_units(...).write.parquet``) to use it more than once.
+    """
+    known = _held(units, held_units)
+    if known is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+
+        @F.pandas_udf("string")
+        def rewrite(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: joined(t, shared.value))
 
-def segment(docs: DataFrame, units: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Rewrite ``text`` of every row; null → '', a text without units keeps its words."""
+        return docs.withColumn(text, rewrite(F.col(text)))
     words = tokens(F.col(text))
     occurring = docs.select(key, F.explode(F.array_distinct(_pairs(words))).alias("pair"))
-    # A pair occurs once per text here; adaptive execution broadcasts the units
-    # when they are small at run time and splits hot pairs when they are not.
+    # A pair occurs once per text here; adaptive execution splits hot pairs.
     found = occurring.join(units.select("pair"), "pair", "left_semi")
     per_doc = found.groupBy(key).agg(F.collect_set("pair").alias("_units"))
-    joined = docs.join(per_doc, key, "left")
-    return joined.withColumn(text, rewrite(words, F.coalesce("_units", F.array().cast("array<string>")))).drop("_units")
 
+    @F.pandas_udf("string")
+    def rewrite_own(texts: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series([joined(t, frozenset(u) if u is not None else ()) for t, u in zip(texts, own)], dtype=object)
+
+    return docs.join(per_doc, key, "left").withColumn(text, rewrite_own(F.col(text), F.col("_units"))).drop("_units")
+
+
+def segment_lists(docs: DataFrame, units: DataFrame, key: str, items: str, held_units: int = HELD_UNITS) -> DataFrame:
+    """The same for every element of an array column; order is kept, a null array becomes empty."""
+    known = _held(units, held_units)
+    if known is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+
+        @F.pandas_udf("array<string>")
+        def rewrite(lists: pd.Series) -> pd.Series:
+            return lists.map(lambda texts: [joined(t, shared.value) for t in texts])
 
-def segment_lists(docs: DataFrame, units: DataFrame, key: str, items: str) -> DataFrame:
-    """The same for every element of an array column; order is kept."""
+        return docs.withColumn(items, rewrite(F.coalesce(items, F.array().cast("array<string>")))).select(*docs.columns)
     each = docs.select(key, F.posexplode(items).alias("pos", "item")).withColumn(
         "item_id", F.concat_ws(":", F.col(key).cast("string"), F.col("pos").cast("string"))
     )
-    done = segment(each, units, "item_id", "item")
+    done = segment(each, units, "item_id", "item", held_units)
     back = done.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("_items"))
-    joined = docs.drop(items).join(back, key, "left")
+    put_back = docs.drop(items).join(back, key, "left")
     rebuilt = F.transform(F.coalesce("_items", F.array().cast("array<struct<pos:int,item:string>>")), lambda s: s["item"])
-    return joined.withColumn(items, rebuilt).drop("_items").select(*docs.columns)
+    return put_back.withColumn(items, rebuilt).drop("_items").select(*docs.columns)
 
 
 def segment_with(docs: DataFrame, segmenter: Callable[[Column], Column], text: str = "text") -> DataFrame:

@@ -280,6 +280,30 @@ def segmented_text(spark, sf):
     return segment.segment(docs, segment.learn_units(docs), "cid")
 
 
+@query(
+    "segment_lists",
+    f"""
+    WITH {_UNITS_SQL},
+    parts AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
+                list_filter(string_split_regex(text, '\\s+'), lambda t: length(t) > 0) AS words FROM conversations),
+    x AS (SELECT conv_id, pos, i, words[i] AS a, words[i + 1] AS b FROM (
+            SELECT conv_id, pos, words, unnest(range(1, len(words) + 1)) AS i FROM parts)),
+    g AS (SELECT conv_id, pos, i, a || CASE WHEN b IS NULL THEN '' WHEN pair IS NULL THEN ' ' ELSE chr(1) END AS piece
+          FROM x LEFT JOIN units ON pair = a || ' ' || b),
+    t AS (SELECT conv_id, pos, coalesce(replace(regexp_replace(string_agg(piece, '' ORDER BY i),
+             '([^ ' || chr(1) || ']+)' || chr(1) || '([^ ' || chr(1) || ']+)', '\\1_\\2', 'g'), chr(1), ' '), '') AS text
+          FROM parts LEFT JOIN g USING (conv_id, pos) GROUP BY conv_id, pos)
+    SELECT conv_id, string_agg(text, ' | ' ORDER BY pos) AS texts FROM t GROUP BY conv_id
+    """.replace("\\\\", "\\"),
+)
+def segment_lists(spark, sf):
+    """every turn of a conversation, with the units of the corpus."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    lists = turns.select("conv_id", F.col("t.text").alias("texts"))
+    done = segment.segment_lists(lists, segment.learn_units(views.corpus(spark, sf)), "conv_id", "texts")
+    return done.withColumn("texts", F.array_join("texts", " | "))
+
+
 @query(
     "loose_settings",
     """

@@ -79,3 +79,24 @@ def test_segmentation(spark):
     assert got == {1: ["new_york", "york_city"], 2: []}
     upper = {r.cid: r.text for r in segment.segment_with(docs, F.upper).collect()}
     assert upper[5] == "YORK NEW" and upper[3] == "" and upper[4] == "  "
+
+
+def test_segmentation_with_and_without_held_units(spark):
+    """Units that tasks hold and units that travel to their texts give the same texts."""
+    import random
+
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices("abcde", k=rng.randint(0, 30))) or None) for i in range(300)], "cid bigint, text string")
+    units = spark.createDataFrame([(p, *p.split()) for p in ("a b", "b c", "c c", "e a", "d e")], "pair string, first string, second string")
+    held, sent = ({r.cid: r.text for r in segment.segment(docs, units, "cid", held_units=n).collect()} for n in (10, 2))
+    assert held == sent and held.keys() == set(range(300))
+    pairs = {"a b", "b c", "c c", "e a", "d e"}
+    for row in docs.collect():
+        words, out = (row.text or "").split(), []
+        while words:
+            if " ".join(words[:2]) in pairs and len(words) > 1:
+                out.append("_".join(words[:2]))
+                words = words[2:]
+            else:
+                out.append(words.pop(0))
+        assert held[row.cid] == " ".join(out)
