@@ -399,6 +399,29 @@ def embedding_drift(spark, sf):
     return drift.embedding_drift(vectors, vectors, "label").withColumn("drift", F.round("drift", 6))
 
 
+def _drift_windows_sql(length: int, step: int) -> str:
+    """Windows of ``length`` steps of ``step`` minutes, straight from the vectors."""
+    return f"""
+    SELECT * FROM (
+    WITH v AS ({views.SERVED_VECTORS_SQL}),
+    base AS (SELECT i, avg(embedding[i + 1]::DOUBLE) AS b FROM embeddings, range(0, 64) t(i) GROUP BY i),
+    w AS (SELECT time_bucket(INTERVAL {step} MINUTE, ts) - k * INTERVAL {step} MINUTE AS window_start, vec_id, embedding FROM v, range(0, {length}) r(k)),
+    means AS (SELECT window_start, i, avg(embedding[i + 1]::DOUBLE) AS m FROM w, range(0, 64) t(i) GROUP BY ALL),
+    d AS (SELECT window_start, 1 - sum(m * b) / (sqrt(sum(m * m)) * sqrt(sum(b * b))) AS drift FROM means JOIN base USING (i) GROUP BY ALL)
+    SELECT window_start, window_start + INTERVAL {length * step} MINUTE AS window_end, n, round(drift, 6) AS drift, drift > 0.1 AS drifted
+    FROM d JOIN (SELECT window_start, count(*) AS n FROM w GROUP BY ALL) USING (window_start))
+    """
+
+
+@query("embedding_drift_windows", _drift_windows_sql(1, 60))
+def embedding_drift_windows(spark, sf):
+    """D3 as it is scheduled: every hour, the vectors of that hour against the mean of all."""
+    vectors = views.vectors(spark, sf)
+    rows = drift.drift_windows(views.served_vectors(vectors), drift.baseline_mean(vectors))
+    stamps = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return rows.withColumns(stamps).withColumn("drift", F.round("drift", 6))
+
+
 # --- requests ----------------------------------------------------------------
 
 _REQUESTS = """

@@ -10,13 +10,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lodestream.operators import alerts, logs, telemetry
+from lodestream.operators import alerts, drift, logs, telemetry
+from lodestream.operators import histogram as hist
 from lodestream.plans import catalog_telemetry as batch
 from lodestream.plans import views
 from lodestream.plans.catalog_data import log_lines
+from lodestream.plans.catalog_retrieval import _drift_windows_sql
 from lodestream.plans.registry import ORACLES, query, table
 from lodestream.session import checkpoint_dir
 from lodestream.streaming import alerts as stream_alerts
+from lodestream.streaming import late as stream_late
 from lodestream.streaming import logs as stream_logs
 from lodestream.streaming import telemetry as stream_telemetry
 from lodestream.streaming.session import state_settings
@@ -156,6 +159,60 @@ def stream_cold_start_rate(spark, sf):
     return _plain_time(rows, "window_start", "window_end").withColumn("rate", F.round("rate", 9))
 
 
+@query("stream_batch_sizes", _closed("batch_size_rates_5m"))
+def stream_batch_sizes(spark, sf):
+    """R7 as a stream."""
+    rows = _drained(spark, telemetry.bucket_rates(_events(spark, sf), "batch_size", hist.BATCH_SIZE_BOUNDS, step="5 minutes"))
+    return _plain_time(rows.withColumn("rate", F.round("rate", 6)), "window_start", "window_end")
+
+
+@query("stream_inference_load", _closed("inference_load_5m"))
+def stream_inference_load(spark, sf):
+    """R8 as a stream; the watermark follows all requests."""
+    rows = _drained(spark, telemetry.inference_load(_events(spark, sf)))
+    return _plain_time(rows.withColumn("inference_load", F.round("inference_load", 6)), "window_start", "window_end")
+
+
+@query(
+    "stream_embedding_drift",
+    f"""
+    SELECT * FROM ({_drift_windows_sql(4, 15)})
+    WHERE window_end <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM ({views.SERVED_VECTORS_SQL}))
+    """,
+)
+def stream_embedding_drift(spark, sf):
+    """D3 as a stream: the last hour, every quarter of an hour."""
+    vectors = views.vectors(spark, sf)
+    arriving = spark.readStream.schema(vectors.schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
+    timed = views.served_vectors(arriving).withWatermark("ts", "1 minute")
+    rows = _drained(spark, drift.drift_windows(timed, drift.baseline_mean(vectors), length="1 hour", step="15 minutes"))
+    return _plain_time(rows.withColumn("drift", F.round("drift", 6)), "window_start", "window_end")
+
+
+@query(
+    "stream_late_events",
+    """
+    WITH seen AS (SELECT event_id, ts, event_id % 4 AS batch FROM events),
+    before AS (SELECT b.batch, (SELECT max(ts) FROM seen WHERE seen.batch < b.batch) AS newest FROM (SELECT DISTINCT batch FROM seen) b)
+    SELECT event_id, ts, seen.batch, count(*) OVER (PARTITION BY seen.batch) AS rejected
+    FROM seen JOIN before USING (batch) WHERE ts < newest - INTERVAL 168 HOURS
+    """,
+)
+def stream_late_events(spark, sf):
+    """R9 as a stream: the events arrive in four files, each with some of every day."""
+    folder, events = _folder(spark), table(spark, sf, "events")
+    for number in range(4):
+        events.where(F.col("event_id") % 4 == number).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    running = stream_late.split_late(arriving, f"{folder}/out", f"{folder}/state")
+    running.awaitTermination()
+    if running.exception():
+        raise running.exception()
+    counts = stream_late.late_counts(spark, f"{folder}/out").select(F.col("batch"), F.col("late").alias("rejected"))
+    rejected = stream_late.stored_events(spark, f"{folder}/out", late=True).withColumn("batch", F.col("batch").cast("bigint"))
+    return rejected.join(counts, "batch").select("event_id", "ts", "batch", "rejected")
+
+
 @query("stream_error_log", f"SELECT * FROM ({ORACLES['parsed_log']}) WHERE level = 'ERROR'")
 def stream_error_log(spark, sf):
     """Log files read as a stream, errors kept."""

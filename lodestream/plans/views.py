@@ -92,6 +92,15 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings")
 
 
+# Vectors as they were served: one every two minutes.
+SERVED_VECTORS_SQL = "SELECT *, TIMESTAMP '2024-01-01 00:00:00' + vec_id * INTERVAL 2 MINUTE AS ts FROM embeddings"
+
+
+def served_vectors(vectors: DataFrame) -> DataFrame:
+    """The same of a table or stream of vectors."""
+    return vectors.withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + F.col("vec_id") * 120))
+
+
 def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Every vector as a token of the text named by its label."""
     return vectors(spark, sf).select(

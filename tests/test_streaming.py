@@ -10,6 +10,7 @@ from lodestream.operators import alerts, notify, telemetry
 from lodestream.plans import views
 from lodestream.sources.streams import log_stream, request_stream
 from lodestream.streaming import alerts as stream_alerts
+from lodestream.streaming import late as stream_late
 from lodestream.streaming import logs as stream_logs
 from lodestream.streaming import telemetry as stream_telemetry
 from lodestream.streaming.session import state_settings
@@ -216,3 +217,30 @@ def test_live_alerts_over_batches(spark, events, tmp_path):
     batch = alerts.all_changes(some.unionByName(far), rules).select(*got.columns)
     shown = lambda df: rows(df.withColumn("value", F.round("value", 9)))
     assert shown(got) == shown(batch) and got.where("alertname = 'BiEncoderDown' AND status = 'resolved'").count() > 0
+
+
+def test_late_events_after_a_restart(spark, tmp_path):
+    """Rejects are told by the newest event of the batches before, also across a restart, and a
+    batch that is run again gives the same."""
+    source, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    day = lambda d: f"2024-01-{d:02d} 00:00:00"
+
+    def arrive(*days):
+        df = spark.createDataFrame([(d, day(d) if d else None) for d in days], "event_id bigint, at string")
+        df.select("event_id", F.col("at").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(source)
+
+    def run_all():
+        stream = spark.readStream.schema("event_id bigint, ts timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+        query = stream_late.split_late(stream, out, ckpt)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        return query
+
+    arrive(1, 10)
+    arrive(2, 3, 0, 4, 20)
+    run_all()
+    arrive(12, 14, 2)
+    run_all()
+    assert sorted(r.event_id for r in stream_late.stored_events(spark, out, late=True).collect()) == [0, 2, 2, 12]
+    counts = sorted((r.batch, r.kept, r.late) for r in stream_late.late_counts(spark, out).collect())
+    assert counts == [(0, 2, 0), (1, 3, 2), (2, 1, 2)]
