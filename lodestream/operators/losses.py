@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.operators.topk import _matrix
+from lodestream.session import checkpoint_dir
 
 _BLOCK = 1024
 
@@ -82,15 +86,64 @@ def epoch_loss(batch_losses: DataFrame) -> DataFrame:
     return batch_losses.agg(F.avg("loss").alias("loss"))
 
 
-def cached_inbatch_softmax(
-    pairs: DataFrame, *, batch: str = "batch_id", batch_size: int = 64, cache_size: int = 1024, **columns
-) -> DataFrame:
-    """The in-batch loss over caches of consecutive batches.
+def caches(sizes: DataFrame, cache_size: int, batch: str = "batch_id", n: str = "n") -> DataFrame:
+    """(batch, cache_id): consecutive batches fill a cache until it holds at least ``cache_size`` rows.
+
+    ``sizes`` has one row per batch. Where a cache ends depends on all batches before it. So each range of
+    batches is first turned into a function from the rows a cache holds at its start to those at its end
+    and the caches closed in between, for all ``cache_size`` possible starts at once; the functions, one per range, are
+    followed from range to range, and then every range numbers its own batches.
+    """
+    spark = sizes.sparkSession
+    # Ranges come from a sample, so they are written before they are used twice.
+    checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        sizes.select(F.col(batch).cast("bigint").alias("batch"), F.col(n).cast("bigint").alias("n"))
+        .repartitionByRange(parts, "batch").sortWithinPartitions("batch").withColumn("part", F.spark_partition_id()).checkpoint()
+    )
 
-    Batches of ``batch_size`` rows fill a cache until it holds at least
-    ``cache_size``; a cache that never fills has no loss (null).
+    def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, closed, part, first = np.arange(cache_size), np.zeros(cache_size, np.int64), None, None
+        for frame in frames:
+            for size in frame["n"].tolist():
+                held = held + size
+                full = held >= cache_size
+                held[full] = 0
+                closed += full
+            if len(frame):
+                part = int(frame["part"].iloc[0])
+                first = int(frame["batch"].iloc[0]) if first is None else first
+        if part is not None:
+            yield pd.DataFrame({"part": [part], "first": [first], "held": [held.tolist()], "closed": [closed.tolist()]})
+
+    entry, held, number = {}, 0, 0
+    # One short list per range, as many as there are partitions.
+    for row in sorted(ranged.mapInPandas(summarise, "part int, first bigint, held array<bigint>, closed array<bigint>").collect(), key=lambda r: r["first"]):
+        entry[row["part"]] = held, number
+        held, number = row["held"][held], number + row["closed"][held]
+    starts = spark.sparkContext.broadcast(entry)
+
+    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = None
+        for frame in frames:
+            out = []
+            for at, size, part in frame[["batch", "n", "part"]].itertuples(index=False):
+                held, number = starts.value[part] if state is None else state
+                out.append((at, number))
+                held += size
+                state = (0, number + 1) if held >= cache_size else (held, number)
+            yield pd.DataFrame(out, columns=["batch", "cache_id"])
+
+    return ranged.mapInPandas(assign, "batch bigint, cache_id bigint")
+
+
+def cached_inbatch_softmax(pairs: DataFrame, *, batch: str = "batch_id", cache_size: int = 1024, **columns) -> DataFrame:
+    """The in-batch loss over caches of consecutive batches, whatever their sizes.
+
+    Batches fill a cache until it holds at least ``cache_size`` rows; a cache that never fills has no loss (null).
     """
-    per_cache = -(-cache_size // batch_size)
-    cached = pairs.withColumn("_cache", F.floor(F.col(batch) / per_cache).cast("bigint"))
+    numbered = caches(pairs.groupBy(batch).agg(F.count("*").alias("n")), cache_size, batch)
+    cached = pairs.join(numbered, pairs[batch] == numbered["batch"]).withColumnRenamed("cache_id", "_cache").drop("batch")
     losses = inbatch_softmax(cached, batch="_cache", **columns).withColumnRenamed("batch_id", "cache_id")
     return losses.withColumn("loss", F.when(F.col("rows") >= cache_size, F.col("loss")))

@@ -335,13 +335,17 @@ _LOSS = """
 """
 
 
-def _batched(spark, sf):
+def _training_rows(spark, sf):
     vectors = views.vectors(spark, sf)
     pairs = _ranking(spark, sf, 1).select("qid", "cid")
     joined = pairs.join(vectors.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query_vec")), "qid").join(
         vectors.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("positive_vec")), "cid"
     )
-    return split.with_batches(joined.withColumn("row_id", F.col("qid")), "row_id", 64)
+    return joined.withColumn("row_id", F.col("qid"))
+
+
+def _batched(spark, sf):
+    return split.with_batches(_training_rows(spark, sf), "row_id", 64)
 
 
 @query(
@@ -378,7 +382,27 @@ def inbatch_epoch_loss(spark, sf):
 )
 def cached_inbatch_loss(spark, sf):
     """Caches of at least 200 rows, i.e. four batches of 64."""
-    out = losses.cached_inbatch_softmax(_batched(spark, sf), batch_size=64, cache_size=200)
+    out = losses.cached_inbatch_softmax(_batched(spark, sf), cache_size=200)
+    return out.withColumn("loss", F.round("loss", 6))
+
+
+@query(
+    "cached_unequal_loss",
+    f"""
+    WITH RECURSIVE {_BATCHED}, uneven AS (SELECT *, CAST(floor(sqrt(pos)) AS BIGINT) AS b FROM rows_),
+    sizes AS (SELECT b, count(*) AS n FROM uneven GROUP BY b),
+    walk(b, cache, held) AS (SELECT 0::BIGINT, 0::BIGINT, n FROM sizes WHERE b = 0
+      UNION ALL SELECT s.b, CASE WHEN w.held >= 150 THEN cache + 1 ELSE cache END, CASE WHEN w.held >= 150 THEN s.n ELSE w.held + s.n END
+      FROM walk w JOIN sizes s ON s.b = w.b + 1),
+    grouped AS (SELECT uneven.*, cache AS g FROM uneven JOIN walk USING (b)), {_LOSS}
+    SELECT g AS cache_id, count(*) AS rows, CASE WHEN count(*) >= 150 THEN round(avg(loss), 6) END AS loss FROM lse GROUP BY g
+    """,
+)
+def cached_unequal_loss(spark, sf):
+    """A23 with batches of 1, 3, 5, 7, … rows: caches fill by rows, not by batches."""
+    placed = split.seeded_shuffle(_training_rows(spark, sf), "row_id")
+    rows = placed.withColumn("batch_id", F.floor(F.sqrt("pos")).cast("bigint")).drop("pos")
+    out = losses.cached_inbatch_softmax(rows, cache_size=150)
     return out.withColumn("loss", F.round("loss", 6))
 
 
@@ -548,11 +572,28 @@ def encode_corpus(spark, sf):
     return HashedEncoder.fit(docs).encode(docs)
 
 
-@query("encode_corpus_words")
+@query(
+    "encode_corpus_words",
+    r"""
+    WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda t: length(t) > 0) AS words FROM documents),
+    x AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM t),
+    p AS (SELECT words[i] AS a, words[i + 1] AS b, count(*) AS n FROM x GROUP BY 1, 2),
+    near AS (SELECT a AS word, a AS other, n FROM p UNION ALL SELECT a, b, n FROM p WHERE b IS NOT NULL UNION ALL SELECT b, a, n FROM p WHERE b IS NOT NULL),
+    raw AS (SELECT word, k, sum(n * (2 * ((('0x' || substr(md5('0:' || other), 1, 8))::BIGINT >> k) & 1) - 1))::DOUBLE AS v
+            FROM near, range(0, 16) r(k) GROUP BY ALL),
+    unit AS (SELECT word, k, coalesce(v / nullif(sqrt(sum(v * v) OVER (PARTITION BY word)), 0), 0) AS v FROM raw),
+    tf AS (SELECT doc_id, words[i] AS word, count(*) AS n FROM x GROUP BY ALL),
+    s AS (SELECT doc_id, k, sum(n * v) AS v FROM tf JOIN unit USING (word) GROUP BY ALL),
+    u AS (SELECT doc_id, k, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS v FROM s)
+    SELECT d.doc_id AS cid, r.k::INT AS dim, round(coalesce(v, 0), 6) + 0.0 AS value
+    FROM documents d CROSS JOIN range(0, 16) r(k) LEFT JOIN u ON u.doc_id = d.doc_id AND u.k = r.k
+    """.replace("\\\\", "\\"),
+)
 def encode_corpus_words(spark, sf):
-    """Averaged word vectors learned from the whole corpus."""
+    """Averaged word vectors learned from the whole corpus, component by component."""
     docs = views.corpus(spark, sf).select("cid", "text")
-    return AveragedWordEncoder.fit(docs, dim=16).encode(docs)
+    encoded = AveragedWordEncoder.fit(docs, dim=16).encode(docs, kind="double")
+    return encoded.select("cid", F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
 @query("retrieve_rerank")

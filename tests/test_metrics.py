@@ -95,7 +95,7 @@ def test_inbatch_loss_brute_force(spark, block):
         top = s.max(axis=1)
         lse = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
         assert got[b] == pytest.approx(float(np.mean(lse - np.diag(s))))
-    cached = {r.cache_id: r.loss for r in losses.cached_inbatch_softmax(df, batch_size=20, cache_size=20).collect()}
+    cached = {r.cache_id: r.loss for r in losses.cached_inbatch_softmax(df, cache_size=20).collect()}
     assert cached[0] == pytest.approx(got[0]) and cached[1] is None
 
 
@@ -136,3 +136,21 @@ def test_auc_under_heavy_ties(spark):
     p, n = Counter(pos), Counter(neg)
     exact = sum(c * sum(d * ((a > b) + (a == b) / 2) for b, d in n.items()) for a, c in p.items()) / (len(pos) * len(neg))
     assert pair_metrics.roc_auc(df).first()[0] == pytest.approx(exact)
+
+
+def test_caches_fill_by_rows(spark):
+    """Batches of any size over several ranges of batches: caches end where a plain walk ends them."""
+    import random
+
+    rng = random.Random(3)
+    for most, size in ((9, 20), (50, 20), (1, 7)):
+        sizes = [(b, rng.randint(0, most)) for b in range(500)]
+        want, held, number = {}, 0, 0
+        for b, n in sizes:
+            want[b] = number
+            held += n
+            if held >= size:
+                held, number = 0, number + 1
+        table = spark.createDataFrame(sizes, "batch_id bigint, n bigint").repartition(5)
+        assert {r["batch"]: r["cache_id"] for r in losses.caches(table, size).collect()} == want
+    assert losses.caches(table.limit(0), 5).count() == 0
