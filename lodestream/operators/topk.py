@@ -15,13 +15,15 @@ stays at about a hundred times k rows per query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.session import checkpoint_dir
+from lodestream.session import stored
 
 SCALE = 1e9
 _QUERY_STEP = 256
@@ -109,9 +111,7 @@ def _kth(ranked: DataFrame, k: int) -> DataFrame:
     return ranked.groupBy("qid").agg(F.when(F.count("*") == k, F.min("score")).alias("low"))
 
 
-def _scan(corpus: DataFrame, qids: np.ndarray, matrix: np.ndarray, floors, k: int, skip_self: bool) -> DataFrame:
-    shipped = corpus.sparkSession.sparkContext.broadcast((qids, matrix, floors))
-
+def _scan(corpus: DataFrame, shipped: Broadcast, k: int, skip_self: bool) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_q, vectors_q, low = shipped.value
         running = _Running(ids_q, vectors_q, low, k, skip_self)
@@ -143,32 +143,41 @@ def exact_topk(
 
     Queries and corpus ids must be unique BIGINTs. All rows are returned when
     the corpus has fewer than k. ``block_rows`` and ``block_bytes`` bound the
-    matrix that is broadcast at a time; both are checked before it is collected.
-    ``floor_rows`` is the smallest slice worth ranking first (0: none).
+    matrix that is broadcast at a time; both are checked before it is collected. Of several
+    blocks each is ranked to the end and written to the shared folder before the next one is sent, so
+    only one broadcast is alive. ``floor_rows`` is the smallest slice worth ranking first (0: none).
     """
     q = queries.select(F.col(qid).cast("bigint").alias("qid"), F.col(vector).alias("vec"))
     c = corpus.select(F.col(cid).cast("bigint").alias("cid"), F.col(vector).alias("vec"))
+    context = c.sparkSession.sparkContext
     size = q.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     if not size["n"]:
         return _final_rank(c.sparkSession.createDataFrame([], "qid bigint, cid bigint, score double"), k)
     block = max(1, min(block_rows, block_bytes // (8 * max(1, size["dim"] or 1))))
     blocks = -(-size["n"] // block)
     if blocks > 1:
-        checkpoint_dir(q.sparkSession)
-        q = q.checkpoint()
+        q = stored(q)
     slice_ = None
     if floor_rows and c.count() > 4 * floor_rows:
-        # Any slice gives a valid lower bound, so which rows it holds is free.
+        # Any slice gives a valid lower bound, so which rows it holds is free. It is read once.
         slice_ = c.where(F.pmod(F.xxhash64("cid"), F.lit(100)) == 0)
-    found = None
+        slice_ = stored(slice_) if blocks > 1 else slice_
+    done = []
     for number in range(blocks):
         own = q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == number).toArrow()
         if not own.num_rows:
             continue
         qids, matrix, floors = _ids(own.column("qid")), _matrix(own.column("vec")), None
         if slice_ is not None:
-            low = {r.qid: r.low for r in _kth(_final_rank(_scan(slice_, qids, matrix, None, k, exclude_self), k), k).collect()}
+            shipped = context.broadcast((qids, matrix, None))
+            low = {r.qid: r.low for r in _kth(_final_rank(_scan(slice_, shipped, k, exclude_self), k), k).collect()}
+            shipped.unpersist()
             floors = np.array([low[int(i)] if low.get(int(i)) is not None else -np.inf for i in qids])
-        part = _scan(c, qids, matrix, floors, k, exclude_self)
-        found = part if found is None else found.union(part)
-    return _final_rank(found, k)
+        shipped = context.broadcast((qids, matrix, floors))
+        ranked = _final_rank(_scan(c, shipped, k, exclude_self), k)
+        if blocks == 1:
+            return ranked
+        done.append(stored(ranked))
+        # Nothing reads this block again, so its copies may go everywhere.
+        shipped.destroy()
+    return reduce(DataFrame.union, done)

@@ -12,6 +12,7 @@ from lodestream.operators.topk import exact_topk
 from lodestream.plans import views
 from lodestream.plans.registry import query, table
 from lodestream.plans.retrieve import retrieve_and_rerank
+from lodestream.session import stored
 
 # Scores are multiples of 1e-9; a tenth of that keeps six printed digits off
 # the halves, where engines round differently.
@@ -162,7 +163,7 @@ _MINED = (
 
 
 def _mining_input(spark, sf):
-    ranking = _ranking(spark, sf, 50)
+    ranking = stored(_ranking(spark, sf, 50))
     lists = ranking_metrics.ranked_lists(ranking.where(F.col("rank") <= 2))
     queries = lists.select("qid", F.concat(F.lit("q"), F.col("qid").cast("string")).alias("question"), F.col("cids").alias("cid"))
     return queries, ranking

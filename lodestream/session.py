@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-plans joins and splits skewed partitions at run time;
 # the byte sizes keep a task's input well inside executor memory.
@@ -50,3 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(local)
     return local
 
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: for results with several consumers."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

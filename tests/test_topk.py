@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestream.functions.vector import dot
+from lodestream.operators import ranking_metrics
 from lodestream.operators.topk import exact_topk
 
 
@@ -72,3 +73,21 @@ def test_odd_vectors(spark):
             exact_topk(q, spark.createDataFrame(bad, schema).coalesce(1), 2).collect()
     nan = [(1, [float("nan"), 0.0, 0.0]), (2, [3.0, 0.0, 0.0]), (3, [2.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0])]
     assert [r[2] for r in rows(exact_topk(q, spark.createDataFrame(nan, schema), 3))] == [2, 3, 4]
+
+
+def test_blocks_leave_one_table_and_no_broadcast(spark):
+    """Several query blocks are ranked one after the other; what is left is a stored table."""
+    vectors = spark.range(300).select(F.col("id").alias("qid"), F.array(F.sin("id"), F.cos("id")).alias("embedding"))
+    corpus = vectors.withColumnRenamed("qid", "cid")
+    got = exact_topk(vectors, corpus, 3, block_rows=100, floor_rows=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Exchange" not in plan
+    assert rows(got) == rows(exact_topk(vectors, corpus, 3))
+
+
+def test_failed_cases(spark):
+    judged = spark.createDataFrame([(1, 1, 10, 0), (1, 2, 11, 1), (2, 1, 12, 0), (2, 9, 13, 1)], "qid bigint, rank int, cid bigint, rel int")
+    judged = judged.withColumn("score", F.lit(1.0))
+    queries = spark.createDataFrame([(1,), (2,), (3,)], "qid bigint")
+    got = {r.qid: r.top_cids for r in ranking_metrics.failed_cases(queries, judged, within=3, show=1).collect()}
+    assert got == {2: [12], 3: None}
