@@ -5,15 +5,17 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_JSON = {"allowSingleQuotes": "true"}
+_JSON = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
-# Text the JSON reader may decode differently from a list literal: escapes,
-# nested brackets or braces, bare words.
-_NOT_PLAIN = r"\\|^.+[\[{]|[\[,]\s*(true|false|null|NaN|-?Infinity)\s*[,\]]"
+# Text the JSON reader may decode differently from a list literal: escapes other than
+# those that mean the same in both, nested brackets or braces, bare words.
+_NOT_PLAIN = (
+    r"""(?<!\\)(?:\\\\)*\\(?![\\"'ntrbf])|^.+[\[{]|[\[,]\s*(true|false|null|NaN|-?Infinity)\s*[,\]]"""
+)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -32,22 +34,42 @@ def _literal_list(texts: pd.Series) -> pd.Series:
     return texts.map(parse, na_action="ignore")
 
 
+def _native_list(text: Column) -> Column:
+    """A list literal that the JVM reads as Python would; null for any other text."""
+    body = F.trim(text)
+    bracketed = body.startswith("[") & body.endswith("]")
+    plain = bracketed & ~body.rlike("(?s)" + _NOT_PLAIN)
+    return F.from_json(F.when(plain, body), "array<string>", _JSON)
+
+
+def _unsettled(text: Column) -> Column:
+    """Whether a text may be a literal that only Python can tell."""
+    like = F.trim(text).rlike(r"^[\[('\"{]")
+    return F.coalesce(like & _native_list(text).isNull(), F.lit(False))
+
+
 def text_list(text: Column, exact: bool = True) -> Column:
     """List literal → array; any other text → one-element array; null stays null.
 
-    Plain lists are parsed in the JVM. With ``exact`` the remaining literals
-    (escapes, nesting, bare words) go through Python in Arrow batches; every
-    other row is sent there as null.
+    Plain lists, with the usual escapes, are parsed in the JVM. With ``exact`` the remaining literals
+    (rare escapes, nesting, bare words) go through Python in Arrow batches, and
+    every other row is sent there as null; ``with_text_list`` sends only those rows.
     """
-    body = F.trim(text)
-    bracketed = body.startswith("[") & body.endswith("]")
-    plain = bracketed & ~body.rlike("(?s)" + _NOT_PLAIN)
-    native = F.from_json(F.when(plain, body), "array<string>", _JSON)
+    native = _native_list(text)
     if not exact:
         return F.coalesce(native, F.array(text))
-    literal_like = body.rlike(r"^[\[('\"{]")
-    rest = F.when(native.isNull() & literal_like, text)
-    return F.when(text.isNotNull(), F.coalesce(native, _literal_list(rest), F.array(text)))
+    return F.when(text.isNotNull(), F.coalesce(native, _literal_list(F.when(_unsettled(text), text)), F.array(text)))
+
+
+def with_text_list(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
+    """``text_list`` of a column; rows the JVM can settle never reach Python.
+
+    ``df`` is read twice, once for either kind of row.
+    """
+    text, out = F.col(column), out or column
+    settled = df.where(~_unsettled(text)).withColumn(out, F.when(text.isNotNull(), F.coalesce(_native_list(text), F.array(text))))
+    rest = df.where(_unsettled(text)).withColumn(out, F.coalesce(_literal_list(text), F.array(text)))
+    return settled.unionByName(rest)
 
 
 def whole_number(text: Column) -> Column:

@@ -48,7 +48,8 @@ def parse_lists(spark, sf):
     raw = table(spark, sf, "conversations").withColumn(
         "context", F.when(F.col("role") == "assistant", F.col("text")).otherwise(item)
     )
-    return raw.select("conv_id", "turn", F.posexplode(parse.text_list(F.col("context"))).alias("pos", "item"))
+    lists = parse.with_text_list(raw.select("conv_id", "turn", "context"), "context")
+    return lists.select("conv_id", "turn", F.posexplode("context").alias("pos", "item"))
 
 
 @query(

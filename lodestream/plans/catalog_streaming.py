@@ -18,6 +18,7 @@ from lodestream.plans.catalog_data import log_lines
 from lodestream.plans.catalog_retrieval import _drift_windows_sql
 from lodestream.plans.registry import ORACLES, query, table
 from lodestream.session import checkpoint_dir
+from lodestream.sources.streams import log_stream
 from lodestream.streaming import alerts as stream_alerts
 from lodestream.streaming import late as stream_late
 from lodestream.streaming import logs as stream_logs
@@ -222,6 +223,28 @@ def stream_error_log(spark, sf):
     return _plain_time(_drained(spark, stream_logs.error_stream(entries)), "ts")
 
 
+@query(
+    "stream_kept_logs",
+    f"""
+    WITH l AS ({ORACLES['parsed_log']}) SELECT ts, level, message, 'svc' AS job, 'app' AS endpoint FROM l
+    WHERE ts >= (SELECT max(ts) - INTERVAL 168 HOURS FROM l)
+    """,
+)
+def stream_kept_logs(spark, sf):
+    """Two log files arrive one after the other, the second after a restart; a week is kept."""
+    folder, lines = _folder(spark), log_lines(spark, sf)
+    for number in range(2):
+        # Each file holds the lines of every other day.
+        lines.where(F.dayofyear(F.substring("value", 1, 10).cast("date")) % 2 == number).coalesce(1).write.text(f"{folder}/logs{number}/app.log")
+        entries = log_stream(spark, f"{folder}/logs*/*.log", "svc").withColumn("endpoint", F.lit("app"))
+        running = stream_logs.keep_logs(entries, f"{folder}/store", f"{folder}/state", every=None)
+        running.awaitTermination()
+        if running.exception():
+            raise running.exception()
+    kept = stream_logs.stored_logs(spark, f"{folder}/store")
+    return _plain_time(kept.select("ts", "level", "message", "job", "endpoint"), "ts")
+
+
 @query(
     "stream_absence",
     f"""

@@ -27,6 +27,21 @@ def test_text_list(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
     got = {r.t: r.l for r in df.select("t", parse.text_list(F.col("t")).alias("l")).collect()}
     assert got == TEXTS
+    assert {r.t: r.l for r in parse.with_text_list(df, "t", "l").collect()} == TEXTS
+
+
+def test_usual_lists_stay_in_the_jvm(spark):
+    """Escapes that mean the same in both are read there; only what is left is sent to Python."""
+    import ast
+
+    texts = [r"""['it\'s', "a\"b", 'x\\y', 'n\n\t\r']""", r"['end\\']", "[]", "['a', 2, 3.5]", "plain", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(parse._unsettled(F.col("t"))).count() == 0
+    got = {r.t: r.l for r in parse.with_text_list(df, "t", "l").collect()}
+    assert got[texts[0]] == ast.literal_eval(texts[0]) and got[texts[1]] == ["end\\"] and got["plain"] == ["plain"]
+    hard = spark.createDataFrame([(t,) for t in (r"['\x41']", r"['\101']", r"['a\\\x42']", "[['a']]", "['a' 'b']")], "t string")
+    assert hard.where(parse._unsettled(F.col("t"))).count() == 5
+    assert sorted(r.l for r in parse.with_text_list(hard, "t", "l").collect()) == sorted([["A"], ["A"], ["a\\B"], ["['a']"], ["ab"]])
 
 
 @pytest.mark.parametrize(

@@ -244,3 +244,25 @@ def test_late_events_after_a_restart(spark, tmp_path):
     assert sorted(r.event_id for r in stream_late.stored_events(spark, out, late=True).collect()) == [0, 2, 2, 12]
     counts = sorted((r.batch, r.kept, r.late) for r in stream_late.late_counts(spark, out).collect())
     assert counts == [(0, 2, 0), (1, 3, 2), (2, 1, 2)]
+
+
+def test_kept_logs_expire(spark, tmp_path):
+    """Days that ended a week before the newest entry are gone from the store; a restart stores nothing twice."""
+    source, store, ckpt = tmp_path / "logs", str(tmp_path / "store"), str(tmp_path / "ckpt")
+    source.mkdir()
+    line = lambda day, text: f"2024-01-{day:02d} 12:00:00,000 - app - INFO - {text}\n"
+
+    def run_all():
+        query = stream_logs.keep_logs(log_stream(spark, str(source / "*.log"), "svc"), store, ckpt, every=None)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    (source / "a.log").write_text(line(1, "one") + line(9, "nine") + "no time\n")
+    run_all()
+    (source / "b.log").write_text(line(2, "late") + line(20, "twenty") + line(14, "fourteen"))
+    run_all()
+    run_all()
+    days = {p.name for p in (tmp_path / "store").iterdir() if p.name.startswith("day=")}
+    assert days == {"day=2024-01-14", "day=2024-01-20", "day=__HIVE_DEFAULT_PARTITION__"}
+    kept = sorted((r.message, r.endpoint) for r in stream_logs.stored_logs(spark, store).collect())
+    assert kept == [("fourteen", "b"), ("no time", "a"), ("twenty", "b")]
