@@ -10,7 +10,7 @@ follow the target closely, and no document exceeds the rounded-up ratio.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestream.functions.hashing import hash32
@@ -21,6 +21,11 @@ MOST = 3
 UNIT = 1 << 24
 
 
+def _exact(value: str | int) -> Column:
+    """A column or number wide enough for products of sizes and weights."""
+    return (F.col(value) if isinstance(value, str) else F.lit(value)).cast("decimal(19,0)")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.regexp_count(whole(), F.lit(WORD)).cast("bigint").alias("size"))
 
@@ -38,11 +43,11 @@ def targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
         left = F.sum(F.when(F.col("full"), F.col("source_size") * (1 - most)).otherwise(F.col("source_size")))
         share = weighed.agg(left.alias("r"), F.sum(F.when(~F.col("full"), F.col("w"))).alias("w")).first()
         r, w = share["r"] or 0, share["w"] or 1
-        above = ~F.col("full") & (F.col("w") * F.lit(r) > F.col("source_size") * F.lit(most * w))
+        above = ~F.col("full") & (_exact("w") * _exact(r) > _exact("source_size") * _exact(most * w))
         if weighed.where(above).isEmpty():
             break
         weighed = weighed.withColumn("full", F.col("full") | above)
-    rest = (F.col("w") * F.lit(r)).cast("double") / F.lit(w)
+    rest = (_exact("w") * _exact(r)).cast("double") / F.lit(w)
     return weighed.select("source", "source_size", F.when(F.col("full"), (F.col("source_size") * most).cast("double")).otherwise(rest).alias("target"))
 
 

@@ -235,3 +235,13 @@ def test_surrogates_leave_the_rest_alone(documents):
             assert r["text"] == rows[r["doc_id"]]
         else:
             assert r["text"] != rows[r["doc_id"]] and len(r["text"].split()) == len(rows[r["doc_id"]].split())
+
+
+def test_targets_of_a_giant_among_many_sources(spark):
+    """Products of sizes and weights beyond a long: 200,000 small sources and one of 10^13 words."""
+    sizes = spark.range(200_000).select(F.format_string("s%06d", "id").alias("source"), F.lit(10_000).cast("bigint").alias("size"))
+    giant = spark.createDataFrame([("t", 10**13)], "source string, size bigint")
+    goal = mixing.targets(sizes.union(giant)).collect()
+    total = 200_000 * 10_000 + 10**13
+    assert len(goal) == 200_001 and sum(r["target"] for r in goal) == pytest.approx(total)
+    assert all(r["target"] <= 3 * r["source_size"] for r in goal)
