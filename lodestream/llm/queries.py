@@ -109,7 +109,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", (F.col("n_removed") > 0).alias("repeated"), F.sha2("kept", 256).alias("kept_sha256")
+    )
 
 
 @query("op7_quality_attention")
