@@ -105,7 +105,12 @@ def suffix_array(text: list[int], symbols: int) -> list[int]:
     sizes = np.bincount(values, minlength=symbols)
     ends = np.cumsum(sizes)
     heads_of, tails_of = (ends - sizes).tolist(), ends.tolist()
-    kinds = stype.tolist()
+    # Symbol before each position where that is larger (or smaller) than its follower, else -1;
+    # the last entry answers for places of the array that are still empty (-1).
+    larger, smaller = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)
+    larger[1:n] = np.where(stype[:-1], -1, values[:-1])
+    smaller[1:n] = np.where(stype[:-1], values[:-1], -1)
+    before_l, before_s = larger.tolist(), smaller.tolist()
 
     def induce(order: list[int]) -> list[int]:
         sa = [-1] * n
@@ -115,19 +120,19 @@ def suffix_array(text: list[int], symbols: int) -> list[int]:
             tails[c] -= 1
             sa[tails[c]] = i
         heads = heads_of.copy()
+        # Both scans read places that they have filled ahead of themselves.
         for i in sa:
-            # Positions are filled ahead of this scan.
-            if i > 0 and not kinds[i - 1]:
-                c = text[i - 1]
-                sa[heads[c]] = i - 1
-                heads[c] += 1
+            c = before_l[i]
+            if c >= 0:
+                at = heads[c]
+                sa[at] = i - 1
+                heads[c] = at + 1
         tails = tails_of.copy()
-        for at in range(n - 1, -1, -1):
-            i = sa[at]
-            if i > 0 and kinds[i - 1]:
-                c = text[i - 1]
-                tails[c] -= 1
-                sa[tails[c]] = i - 1
+        for i in reversed(sa):
+            c = before_s[i]
+            if c >= 0:
+                at = tails[c] = tails[c] - 1
+                sa[at] = i - 1
         return sa
 
     if len(lms) == 0:
@@ -170,11 +175,13 @@ def permuted_prefixes(text: bytes, sa: list[int]) -> np.ndarray:
             shared = 0
             continue
         stop = n - max(i, j)
-        # Equal stretches are compared in steps before single bytes.
-        while shared + 16 <= stop and text[i + shared : i + shared + 16] == text[j + shared : j + shared + 16]:
-            shared += 16
-        while shared < stop and text[i + shared] == text[j + shared]:
+        # Mostly nothing is gained; else equal stretches are compared in steps before single bytes.
+        if shared < stop and text[i + shared] == text[j + shared]:
             shared += 1
+            while shared + 64 <= stop and text[i + shared : i + shared + 64] == text[j + shared : j + shared + 64]:
+                shared += 64
+            while shared < stop and text[i + shared] == text[j + shared]:
+                shared += 1
         out[i] = shared
         shared = shared - 1 if shared else 0
     return np.array(out, np.int64)
