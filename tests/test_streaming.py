@@ -1,5 +1,6 @@
 """Stream results equal the batch twin on the same rows."""
 
+import os
 from datetime import timedelta
 
 import pytest
@@ -201,6 +202,7 @@ def test_alert_machine_orders_and_times_out():
     assert changes == [("resolved", 0, 630, 4.0)] and saved is None
 
 
+@pytest.mark.skipif(not os.environ.get("SLOW_TESTS"), reason="some minutes: every micro-batch starts workers for each part of state; set SLOW_TESTS=1")
 def test_live_alerts_over_batches(spark, events, tmp_path):
     """Events out of order over two batches, one stream from events to changes."""
     rules = alerts.rule_table(spark)
