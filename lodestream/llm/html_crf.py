@@ -9,6 +9,11 @@ The labelled pages are the given pages' own blocks laid out again: a bounded
 sample of pages whose markup says what is content (an ``article`` element, with
 menus, adverts and footers outside it) yields passages of both kinds, which are
 set into several layouts, with and without telling tags, whose labels are known.
+Where no page says so, a few passages held here are set into the same layouts.
+
+Blocks share their ancestors, and what the ancestors add to a block's score is
+added up once per element, so that deep markup costs time and memory in
+proportion to the page.
 """
 
 from __future__ import annotations
@@ -23,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bound on the pages whose passages make up the labelled pages.
+# Bounds on the pages whose passages make up the labelled pages: how many, and how long and deep each is at most.
 FIT_PAGES = 300
+FIT_CHARS = 1 << 18
+FIT_DEPTH = 64
 DIMENSION = 1 << 14
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 
@@ -49,18 +56,46 @@ _SCOPES = {"ul", "ol", "dl", "table", "select"}
 _TELLING = ("class", "id", "role")
 
 
+class Node:
+    """An open element: its tag, its telling words and the element around it."""
+
+    __slots__ = ("tag", "words", "parent", "depth", "article", "sums")
+
+    def __init__(self, tag: str, words: str, parent: Node | None):
+        self.tag, self.words, self.parent = tag, words, parent
+        self.depth = parent.depth + 1 if parent else 1
+        self.article = tag == "article" or (parent is not None and parent.article)
+        self.sums: tuple[float, float] | None = None
+
+
 class Block:
-    __slots__ = ("text", "path", "links", "marks")
+    __slots__ = ("text", "node", "links", "marks")
 
-    def __init__(self, text: str, path: list[tuple[str, str]], links: int, marks: int):
-        self.text, self.path, self.links, self.marks = text, path, links, marks
+    def __init__(self, text: str, node: Node | None, links: int, marks: int):
+        self.text, self.node, self.links, self.marks = text, node, links, marks
+
+    @property
+    def own(self) -> str:
+        return self.node.tag if self.node else "none"
+
+    @property
+    def path(self) -> list[tuple[str, str]]:
+        """(tag, telling words) of the ancestors, outermost first."""
+        out, node = [], self.node
+        while node:
+            out.append((node.tag, node.words))
+            node = node.parent
+        return out[::-1]
 
 
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order, without hidden and raw elements, white space folded."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []
+    stack: list[tuple[str, bool, Node | None]] = []
+    # Where each tag is open, and where any tag but the inline ones, so that no step walks the stack.
+    places: dict[str, list[int]] = {}
+    outer: list[int] = []
     run: list[str] = []
     hidden = links = linked = marks = 0
     place = 0
@@ -70,16 +105,22 @@ def blocks(page: str | None) -> list[Block]:
         if run:
             text = " ".join(html_module.unescape("".join(run)).split())
             if text:
-                out.append(Block(text, [(t, w) for t, w, _ in stack if t not in _INLINE], linked, marks))
+                out.append(Block(text, stack[outer[-1]][2] if outer else None, linked, marks))
         run, linked, marks = [], 0, 0
 
     def close(upto: int) -> None:
         nonlocal hidden, links
         while len(stack) > upto:
-            tag, _, hides = stack.pop()
+            tag, hides, _ = stack.pop()
+            places[tag].pop()
+            if tag not in _INLINE:
+                outer.pop()
             hidden -= hides
             links -= tag == "a"
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     def add(text: str) -> None:
         nonlocal linked
         if text and not hidden:
@@ -101,14 +142,14 @@ def blocks(page: str | None) -> list[Block]:
         if not tag:
             continue
         if found[1]:
+            at = last((tag,))
             if tag in _INLINE:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None and all(t in _INLINE for t, _, _ in stack[at:]):
+                # An inline element ends only where no other element was opened inside.
+                if at > (outer[-1] if outer else -1):
                     close(at)
                 continue
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             flush()
-            if at is not None:
+            if at >= 0:
                 close(at)
             continue
         if tag in _INLINE:
@@ -118,14 +159,13 @@ def blocks(page: str | None) -> list[Block]:
                 continue
         else:
             flush()
-            if tag in _CLOSES_P or tag in _CLOSES_SAME:
-                ends = {"p"} if tag in _CLOSES_P else _CLOSES_SAME[tag]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        close(i)
-                        break
-                    if stack[i][0] in _SCOPES or (stack[i][0] not in _INLINE and tag in _CLOSES_P):
-                        break
+            if tag in _CLOSES_P:
+                if outer and stack[outer[-1]][0] == "p":
+                    close(outer[-1])
+            elif tag in _CLOSES_SAME:
+                at = last(_CLOSES_SAME[tag])
+                if at > last(_SCOPES):
+                    close(at)
         if tag in _VOID:
             continue
         attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(found[3])} if "=" in found[3] else {}
@@ -138,22 +178,27 @@ def blocks(page: str | None) -> list[Block]:
         if bare.rstrip().endswith("/") and tag in ("svg", "math"):
             continue
         words = " ".join(attributes.get(a, "") for a in _TELLING).strip()
-        stack.append((tag, words, hides))
+        node = None
+        if tag not in _INLINE:
+            node = Node(tag, words, stack[outer[-1]][2] if outer else None)
+            outer.append(len(stack))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, hides, node))
         hidden += hides
         links += tag == "a"
     flush()
     return out
 
 
+def element_features(tag: str, words: str) -> list[str]:
+    """Names of the features that an ancestor turns on: its tag and the words of its attributes."""
+    return [f"in={tag}"] + [f"attr={w.lower()}" for w in set(_WORDS.findall(words))]
+
+
 def features(block: Block) -> list[str]:
-    """Names of the features that are on; tags from the inside out, words of attributes, text bins."""
-    path, text = block.path, block.text
-    own = path[-1][0] if path else "none"
-    out = ["bias", f"own={own}", f"depth={min(len(path), 12)}"]
-    for tag, words in path:
-        out.append(f"in={tag}")
-        for w in set(_WORDS.findall(words)):
-            out.append(f"attr={w.lower()}")
+    """Names of the features that are on, but for those of the ancestors: own tag, text bins."""
+    text, own = block.text, block.own
+    out = ["bias", f"own={own}", f"depth={min(block.node.depth if block.node else 0, 12)}"]
     n = len(text)
     words = text.split()
     size = min(9, n.bit_length())
@@ -182,16 +227,21 @@ def _code(name: str) -> int:
     return code
 
 
-def encode(chain: list[Block]) -> list[list[int]]:
-    """Feature codes per block, with the neighbours' element and size."""
+def own_codes(chain: list[Block]) -> list[list[int]]:
+    """Feature codes per block, with the neighbours' element and size, without the ancestors'."""
     out = [[_code(f) for f in features(b)] for b in chain]
-    own = [f"{b.path[-1][0] if b.path else 'none'}:{min(9, len(b.text).bit_length())}" for b in chain]
+    own = [f"{b.own}:{min(9, len(b.text).bit_length())}" for b in chain]
     for i, codes in enumerate(out):
         codes.append(_code(f"before={own[i - 1] if i else 'start'}"))
         codes.append(_code(f"after={own[i + 1] if i + 1 < len(own) else 'end'}"))
     return out
 
 
+def encode(chain: list[Block]) -> list[list[int]]:
+    """All feature codes per block, as the field is trained on them."""
+    return [codes + [_code(f) for step in b.path for f in element_features(*step)] for codes, b in zip(own_codes(chain), chain)]
+
+
 class Field:
     """Weights of a two-label linear chain: per feature and label, and per step."""
 
@@ -199,11 +249,40 @@ class Field:
         self.emit, self.step = emit, step
 
     def viterbi(self, codes: list[list[int]]) -> list[int]:
-        if not codes:
-            return []
+        return self.decode(self._sums(codes).tolist())
+
+    def _sums(self, codes: list[list[int]]) -> np.ndarray:
         flat = np.fromiter((c for row in codes for c in row), np.int64)
-        starts = np.concatenate([[0], np.cumsum([len(row) for row in codes])[:-1]])
-        scores = np.add.reduceat(self.emit[flat], starts, axis=0).tolist()
+        starts = np.cumsum([0, *map(len, codes)])[:-1]
+        return np.add.reduceat(self.emit[flat], starts, axis=0) if codes else np.zeros((0, 2))
+
+    def labels(self, chain: list[Block]) -> list[int]:
+        """Best labels of a page's blocks; every element's part is added up once."""
+        scores = self._sums(own_codes(chain)).tolist()
+        for row, block in zip(scores, chain):
+            if block.node:
+                no, yes = self._around(block.node)
+                row[0] += no
+                row[1] += yes
+        return self.decode(scores)
+
+    def _around(self, node: Node) -> tuple[float, float]:
+        above: list[Node] = []
+        up: Node | None = node
+        while up is not None and up.sums is None:
+            above.append(up)
+            up = up.parent
+        no, yes = up.sums if up is not None and up.sums else (0.0, 0.0)
+        for n in reversed(above):
+            own = self.emit[[_code(f) for f in element_features(n.tag, n.words)]].sum(0).tolist()
+            no, yes = no + own[0], yes + own[1]
+            n.sums = (no, yes)
+        return no, yes
+
+    def decode(self, scores: list[list[float]]) -> list[int]:
+        """Viterbi over scores per block and label."""
+        if not scores:
+            return []
         (a, b), (c, d) = self.step.tolist()
         back = []
         no, yes = scores[0]
@@ -324,6 +403,9 @@ def layouts(passages: list[str], asides: list[str], rng: random.Random) -> str:
     given = attributes(_CONTENT[1])
     if not given and tag in ("div", "section"):
         given = f' class="{rng.choice(_CONTENT[1])}"' if rng.random() < 0.85 else ""
+    plain = rng.random() < 0.2
+    if plain:
+        tag, given = "div", ""
     inner = []
     for i, p in enumerate(passages):
         style = rng.random()
@@ -354,27 +436,35 @@ def layouts(passages: list[str], asides: list[str], rng: random.Random) -> str:
         body = f'<div class="{rng.choice(["container", "wrapper", "row", "layout", "page", "col"])}">{body}</div>'
     if rng.random() < 0.25:
         body = f"<main>{body}</main>"
+    if rng.random() < 0.15:
+        # Columns made with a table: menus and adverts in the cells beside the content.
+        name = rng.choice(["menu", "sidebar", "advert"])
+        beside = "".join(f'<a href="/x">{" ".join(rng.choice(asides).split()[:3])}</a> ' for _ in range(rng.randint(1, 4)))
+        cells = [f'<td class="{rng.choice(_PARTS[name][1])}">{beside if rng.random() < 0.7 else rng.choice(asides)}</td>', f"<td>{body}</td>"]
+        if rng.random() < 0.4:
+            cells = [cells[1], cells[0]]
+        body = f"<table><tr>{''.join(cells)}</tr></table>"
     names = list(_PARTS)
     before = [part(n) for n in ["menu", "header", "notice", "advert", "sidebar", "share", "form"] if rng.random() < 0.45]
     after = [part(n) for n in ["footer", "comments", "sidebar", "share", "notice", "form", "advert", "byline"] if rng.random() < 0.45]
+    if plain and rng.random() < 0.5:
+        after = []
     if rng.random() < 0.1:
         rng.shuffle(names)
         before.append(part(names[0]))
     return f"<html><body>{''.join(before)}{body}{''.join(after)}</body></html>"
 
 
-def labelled(page: str, copies: int, seed: int) -> list[tuple[list[list[int]], list[int]]]:
-    """The page itself, and its passages in other layouts, with labels per block."""
-    own = blocks(page)
-    inside = [any(t == "article" for t, _ in b.path) for b in own]
-    passages, asides = [b.text for b, i in zip(own, inside) if i], [b.text for b, i in zip(own, inside) if not i]
-    if not passages or not asides:
-        return []
-    out = [(encode(own), [int(i) for i in inside])]
+Chain = tuple[list[list[int]], list[int]]
+
+
+def laid_out(passages: list[str], asides: list[str], copies: int, seed: int) -> list[Chain]:
+    """Passages and other parts in several layouts, with labels per block."""
+    out = []
     rng = random.Random(seed)
-    clean = [html_module.escape(p) for p in passages]
+    clean, other = [html_module.escape(p) for p in passages], [html_module.escape(a) for a in asides]
     for _ in range(copies):
-        chain = blocks(layouts(clean[: rng.randint(1, len(clean))], [html_module.escape(a) for a in asides], rng))
+        chain = blocks(layouts(clean[: rng.randint(1, len(clean))], other, rng))
         labels = []
         for b in chain:
             labels.append(int("\x01" in b.text))
@@ -383,21 +473,61 @@ def labelled(page: str, copies: int, seed: int) -> list[tuple[list[list[int]], l
     return out
 
 
+def labelled(page: str, copies: int, seed: int) -> list[Chain]:
+    """The page itself, and its passages in other layouts, with labels per block.
+    Nothing from pages without an article, without other parts, or with deeper markup than ``FIT_DEPTH``."""
+    own = blocks(page)
+    inside = [b.node is not None and b.node.article for b in own]
+    passages, asides = [b.text for b, i in zip(own, inside) if i], [b.text for b, i in zip(own, inside) if not i]
+    if not passages or not asides or any(b.node and b.node.depth > FIT_DEPTH for b in own):
+        return []
+    return [(encode(own), [int(i) for i in inside]), *laid_out(passages, asides, copies, seed)]
+
+
+# Passages to train on where no page of the table says what its content is.
+_PASSAGES = [
+    "How the harbour froze",
+    "In the second week of January the harbour froze from the pier to the lighthouse, and for nine days no ship could leave.",
+    "The fishermen walked out across the ice with sledges. They cut holes by hand, lowered their lines and talked about the winter of their grandfathers.",
+    "Nobody was hurt, although a horse broke through near the customs house and had to be pulled out with ropes.",
+    "When the wind turned to the south-west, the ice went out in a single night; by morning only a white rim was left along the quay.",
+    "Measurements at the old tide gauge go back to 1871. They show that such winters came about every twelve years, and that the last one before this was in 1987.",
+]
+_ASIDES = ["Home", "About us", "Contact", "Sign in", "Read more", "Subscribe to our newsletter", "All rights reserved", "Share this page", "We use cookies to improve this site.", "Sponsored: try it free for thirty days"]
+
+
+def _least(pages: DataFrame, most: int) -> DataFrame:
+    """The ``most`` smallest different hashes ``h``; no task sends more than that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64)
+        for batch in batches:
+            held = np.unique(np.concatenate([held, batch.column(0).to_numpy()]))[:most]
+        yield pa.RecordBatch.from_arrays([pa.array(held)], names=["h"])
+
+    return pages.select("h").mapInArrow(run, "h bigint").distinct().orderBy("h").limit(most)
+
+
 def fit(pages: DataFrame, most: int = FIT_PAGES, copies: int = 6) -> Field:
-    """Train on a fixed sample of at most ``most`` pages, picked by a hash of the id."""
-    usable = pages.select("page_id", "html", F.xxhash64("page_id", "html").alias("h")).where(F.col("html").contains("<article"))
-    # Hashes first, so that no more pages than the sample's are moved.
-    last = usable.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    sample = sorted((r["h"], r["page_id"] or 0, r["html"]) for r in usable.where(F.col("h") <= F.lit(last)).collect()) if last is not None else []
-    chains = []
-    for i, (_, _, page) in enumerate(sample):
-        chains += labelled(page, copies, i)
-    return train(chains)
+    """Train on a fixed sample of at most ``most`` different pages of at most ``FIT_CHARS``
+    characters that have an ``article``, picked by a hash; without any, on built-in passages.
+    There are about ``most * copies`` layouts in all."""
+    usable = pages.select("page_id", "html", F.xxhash64("page_id", "html").alias("h")).where(
+        (F.length("html") <= FIT_CHARS) & F.lower("html").contains("<article")
+    )
+    # Hashes first, so that no more pages than the sample's are moved, each once.
+    last = _least(usable, most).agg(F.max("h")).first()[0]
+    chosen = usable.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).collect() if last is not None else []
+    sample = sorted((r["h"], r["page_id"] or 0, r["html"]) for r in chosen)
+    # The fewer pages there are, the more layouts each is set into.
+    copies = most * copies // max(1, len(sample))
+    chains = [chain for i, (_, _, page) in enumerate(sample) for chain in labelled(page, copies, i)]
+    return train(chains or laid_out(_PASSAGES, _ASIDES, copies, 0))
 
 
 def main_text(page: str | None, field: Field) -> str:
     chain = blocks(page)
-    keep = field.viterbi(encode(chain))
+    keep = field.labels(chain)
     return "\n\n".join(b.text for b, k in zip(chain, keep) if k)
 
 
