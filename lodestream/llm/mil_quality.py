@@ -19,6 +19,7 @@ PASSAGE = 64
 SHAPES = 32
 # Bound on the labelled documents a model is fitted on.
 FIT_DOCUMENTS = 4000
+FIT_CHARS = 1 << 17
 THRESHOLD = 0.3
 FOLDS = 5
 _KNOWN = 500_000
@@ -173,23 +174,32 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Model:
     """Fit on at most ``most`` labelled documents outside the held-out fold.
 
     Labels other than 0 and 1 are left out; a document labelled twice has the
-    rounded mean. The sample is the same in every run. Without any labelled
-    document every score is one half; with one class the class decides.
+    rounded mean. Of several texts with one id the one with the smallest hash
+    is taken, and texts above ``FIT_CHARS`` code points are not, so that what
+    comes to the driver is bounded. The sample is the same in every run. Without any
+    labelled document every score is one half; with one class the class decides.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", "text")
+    fine = F.coalesce(F.length("text"), F.lit(0)) <= FIT_CHARS
+    chosen = docs.select("doc_id", "text").where(fine).join(F.broadcast(known), "doc_id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
+        held: dict[int, tuple[int, float, bytes]] = {}
         for batch in batches:
-            bags = [passages(t.as_py(), words) for t in batch.column(2)]
-            packed = pa.array([b.tobytes() for b in bags], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["doc_id", "y", "bag"])
-
-    rows = chosen.mapInArrow(encode, "doc_id bigint, y double, bag binary").toArrow()
-    found = sorted(zip(rows["doc_id"].to_pylist(), rows["y"].to_pylist(), rows["bag"].to_pylist()), key=lambda r: (r[0], r[2]))
+            for doc_id, y, text, h in zip(*(c.to_pylist() for c in batch.columns)):
+                if doc_id not in held or h < held[doc_id][0]:
+                    held[doc_id] = (h, y, passages(text, words).tobytes())
+        rows = [(i, *held[i]) for i in held]
+        arrays = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.binary()))]
+        if rows:
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "y", "bag"])
+
+    bags = chosen.select("doc_id", "y", "text", F.xxhash64("text").alias("h")).mapInArrow(encode, "doc_id bigint, h bigint, y double, bag binary")
+    rows = bags.groupBy("doc_id").agg(F.min(F.struct("h", "y", "bag")).alias("r")).select("doc_id", "r.y", "r.bag").toArrow()
+    found = sorted(zip(rows["doc_id"].to_pylist(), rows["y"].to_pylist(), rows["bag"].to_pylist()), key=lambda r: r[0])
     if not found:
         zero = {k: np.zeros(s) for k, s in {"W": (WIDTH, 1), "b": 1, "V": (1, 1), "U": (1, 1), "a": 1, "c": 1, "d": 1}.items()}
         return Model(np.zeros(WIDTH), np.ones(WIDTH), zero)
