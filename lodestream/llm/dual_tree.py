@@ -6,19 +6,21 @@ trees is walked together, best pair first; a pair of nodes is dropped when the
 largest inner product that their centres and covering radii allow is below the
 worst k-th score of the query node. Each task returns at most k rows per query.
 The query set grows with the data, so it is cut into blocks of fixed size, and
-each block is one pass.
+each block is one pass, ranked and stored before the next one is sent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.llm.shared import cut, positions
+from lodestream.llm.shared import cut, positions, written
 
 SCALE = 1024
 BLOCK = 4096
@@ -203,15 +205,24 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, block: int = BLOCK)
     """
     asked = cut(usable(queries, "vec_id", "embedding").distinct())
     placed = cut(positions(asked.withColumn("_all", F.lit(0)), ["_all"], ["vec_id"]))
-    blocks = placed.agg(F.max("_pos")).first()[0]
-    found = None
-    for number in range(0 if blocks is None else blocks // block + 1):
-        held = placed.where((F.col("_pos") >= number * block) & (F.col("_pos") < (number + 1) * block)).select("vec_id", "embedding").toArrow()
-        ids = held.column("vec_id").to_numpy()
-        part = _scan(data, _by_width(ids, held.column("embedding").combine_chunks()), k)
-        found = part if found is None else found.union(part)
-    if found is None:
+    last = placed.agg(F.max("_pos")).first()[0]
+    if last is None:
         return placed.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.col("vec_id").alias("score"))
+    done = []
+    for start in range(0, last + 1, block):
+        held = placed.where((F.col("_pos") >= start) & (F.col("_pos") < start + block)).select("vec_id", "embedding").toArrow()
+        ids = held.column("vec_id").to_numpy()
+        shared = data.sparkSession.sparkContext.broadcast(_by_width(ids, held.column("embedding").combine_chunks()))
+        ranked = _ranked(_scan(data, shared, k), k)
+        if last < block:
+            return ranked
+        # Ranked to the end and stored, so that one block of queries is held at a time.
+        done.append(written(ranked))
+        shared.destroy()
+    return reduce(DataFrame.union, done)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.distinct()
@@ -221,9 +232,7 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, block: int = BLOCK)
     )
 
 
-def _scan(data: DataFrame, asked: dict[int, tuple[np.ndarray, np.ndarray]], k: int) -> DataFrame:
-    shared = data.sparkSession.sparkContext.broadcast(asked)
-
+def _scan(data: DataFrame, shared: Broadcast, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
