@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,10 +63,11 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     return numbered.join(shifts, same).select(*df.columns, (F.col("_shift") + F.col("_local") - 1).alias("_pos"))
 
 
-def fixed_table(spark: SparkSession, values: list[int], kind: str) -> Column:
-    """A list of fixed size as an array that every row can look into: a scalar
+def fixed_table(spark: SparkSession, values: np.ndarray) -> Column:
+    """Numbers of a fixed count as an array that every row can look into: a scalar
     subquery, so that it is sent once and does not swell the plan's text."""
-    return spark.createDataFrame([(values,)], f"held array<{kind}>").select("held").scalar()
+    held = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+    return spark.createDataFrame(pa.table({"held": held})).select("held").scalar()
 
 
 def present(ids: DataFrame, *columns: str) -> Column:
@@ -73,11 +76,11 @@ def present(ids: DataFrame, *columns: str) -> Column:
     bins = ids.select(F.xxhash64(*columns).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("b"))
     one = F.lit(1).cast("bigint")
     words = bins.groupBy(F.shiftright("b", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
-    table = [0] * (FILTER_BITS >> 6)
+    table = np.zeros(FILTER_BITS >> 6, np.int64)
     for row in words.collect():
         table[row["w"]] = row["bits"]
     b = F.xxhash64(*columns).bitwiseAND(F.lit(FILTER_BITS - 1))
-    word = F.get(fixed_table(ids.sparkSession, table, "bigint"), F.shiftright(b, 6).cast("int"))
+    word = F.get(fixed_table(ids.sparkSession, table), F.shiftright(b, 6).cast("int"))
     return F.call_function("shiftrightunsigned", word, b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(one) == 1
 
 
