@@ -4,6 +4,7 @@ from lodestream.plans import (  # noqa: F401
     catalog_data,
     catalog_pairs,
     catalog_retrieval,
+    catalog_sources,
     catalog_streaming,
     catalog_telemetry,
 )

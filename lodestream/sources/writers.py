@@ -19,11 +19,12 @@ def write_splits(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV export; lists and maps become JSON text."""
+    """CSV export; lists and maps become JSON text, white space around a text stays."""
+    as_is = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     flat = [
         F.to_json(c).alias(c) if kind.startswith(("array", "map", "struct")) else F.col(c) for c, kind in df.dtypes
     ]
-    df.select(*flat).write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    df.select(*flat).write.mode("overwrite").options(**as_is).csv(path)
 
 
 def write_embeddings(vectors: DataFrame, path: str, **source: str | int) -> None:

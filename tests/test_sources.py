@@ -61,3 +61,9 @@ def test_metrics_and_predictions(spark, tmp_path):
     assert list(spark.read.parquet(str(tmp_path / "p")).first().predictions) == [7, 8]
     writers.export_csv(queries, str(tmp_path / "c"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "c")).first().cid == "[7]"
+
+
+def test_csv_keeps_white_space(spark, tmp_path):
+    rows = [(1, "  a\nb "), (2, 'say "x", \\ y\t')]
+    writers.export_csv(spark.createDataFrame(rows, "cid bigint, text string"), str(tmp_path / "w"))
+    assert sorted(tuple(r) for r in clean.clean_corpus(readers.raw_corpus(spark, str(tmp_path / "w"))).collect()) == rows
