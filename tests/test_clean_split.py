@@ -100,3 +100,30 @@ def test_segmentation_with_and_without_held_units(spark):
             else:
                 out.append(words.pop(0))
         assert held[row.cid] == " ".join(out)
+
+
+def test_units_that_travel(spark, monkeypatch):
+    """Only pairs that pass the filter are moved; the units are learned once; keys may be null or repeat."""
+    monkeypatch.setattr(segment, "FILTER_WORDS", 64)
+    learned = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            learned.add(batch.num_rows)
+            yield batch
+
+    pairs = ["a b", "b c", "c c", "e a", "é z"]
+    units = spark.createDataFrame([(p,) for p in pairs], "pair string").coalesce(1).mapInArrow(count, "pair string")
+    rows = [(None, ["a b c", "x  y"]), (None, ["c c c", None, "é z"]), (1, ["q\te a"]), (1, []), (2, None), (3, ["", "a b c"])]
+    docs = spark.createDataFrame(rows, "cid bigint, texts array<string>").repartition(3)
+    done = segment.segment_lists(docs, units, "cid", "texts", held_units=2)
+    wanted = [(k, [segment.joined(t, frozenset(pairs)) for t in texts or []]) for k, texts in rows]
+    assert sorted(map(str, ((r.cid, list(r.texts)) for r in done.collect()))) == sorted(map(str, wanted))
+    assert learned.value == len(pairs)
+    flat = docs.select("cid", F.explode("texts").alias("text"))
+    done = segment.segment(flat, units, "cid", held_units=2)
+    assert sorted(r.text for r in done.collect()) == sorted(t for _, texts in wanted for t in texts)
+    assert learned.value == 2 * len(pairs)
+    table = segment._filter(spark.createDataFrame([("a b",)], "pair string"))
+    assert "a b" in segment._passing(["x a b x", None], table)
+    assert len(segment._passing([" ".join(f"w{i}" for i in range(1000))], table)) < 100
