@@ -91,3 +91,44 @@ def test_failed_cases(spark):
     queries = spark.createDataFrame([(1,), (2,), (3,)], "qid bigint")
     got = {r.qid: r.top_cids for r in ranking_metrics.failed_cases(queries, judged, within=3, show=1).collect()}
     assert got == {2: [12], 3: None}
+
+
+def test_many_queries_stay_on_the_executors(spark):
+    """More than a block of queries: pairs of blocks are ranked by tasks, and no vector is collected."""
+    rng = np.random.default_rng(3)
+    vectors = [[float(x) for x in rng.normal(size=6)] for _ in range(500)] + [[0.5] * 6] * 40 + [[1e9, 0.0, 1e-9, 0.0, 0.0, 0.0]]
+    c = spark.createDataFrame(list(enumerate(vectors)), "cid bigint, embedding array<float>").repartition(3).cache()
+    q = c.select(F.col("cid").alias("qid"), "embedding").where("qid % 3 = 0").cache()
+    for k in (5, 60, 1000):
+        assert rows(exact_topk(q, c, k, exclude_self=True, block_rows=20)) == rows(exact_topk(q, c, k, exclude_self=True))
+    collected, original = [], type(c).toArrow
+    type(c).toArrow = lambda self: collected.append(1) or original(self)
+    try:
+        exact_topk(q, c, 5, block_rows=20)
+    finally:
+        type(c).toArrow = original
+    assert not collected
+
+
+def test_kernel_against_all_scores():
+    """Slices of any size, floors, repeated vectors and large scores give the rows of all scores."""
+    from lodestream.operators import topk
+
+    rng = np.random.default_rng(5)
+    q, c = rng.normal(size=(300, 8)), np.repeat(rng.normal(size=(2500, 8)), 2, axis=0)
+    ids = rng.permutation(len(c))
+    for scale, kind in ((1.0, np.float32), (1.0, np.float64), (1e-5, np.float64), (1e16, np.float64)):
+        a, b = (q * scale).astype(kind), c.astype(kind)
+        scores = np.rint(a.astype(float) @ b.astype(float).T * topk.SCALE) / topk.SCALE
+        expected = [list(ids[np.lexsort((ids, -s))[:7]]) for s in scores]
+        floors = np.sort(scores, axis=1)[:, -20]
+        for low in (None, floors):
+            running = topk._Running(np.arange(300), a, low, 7, False)
+            for at in (0, 900, 3000):
+                end = {0: 900, 900: 3000, 3000: 5000}[at]
+                running.add(ids[at:end], b[at:end])
+            found = {i: [] for i in range(300)}
+            for part in running.rows():
+                for i, cid, score in zip(*part):
+                    found[int(i)].append((-score, int(cid)))
+            assert [[cid for _, cid in sorted(found[i])] for i in range(300)] == expected
