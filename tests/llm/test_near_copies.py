@@ -6,7 +6,7 @@ import pytest
 from conftest_llm import ODD
 
 import corpus_pipeline
-from lodestream.llm import near_copies
+from lodestream.llm import near_copies, simhash
 
 
 def shingles(text):
@@ -74,3 +74,19 @@ def test_near_copies_odd_rows(odd, nothing):
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in single.collect()) == [(False, 0), (False, 0), (True, -7), (True, 1), (True, 1), (True, 5)]
     assert near_copies.one_per_group(nothing).count() == 0
     assert len(ODD) > single.count()
+
+
+def test_fingerprints_link_documents(spark, sf):
+    """Texts whose fingerprints are at most two bits apart are one group, also through a similar third one."""
+    rng = random.Random(4)
+    # Most words of these texts are repeated filler, so edits leave the fingerprint, not the shingle set.
+    filler = " ".join(["again and again"] * 300)
+    texts = [f"{filler} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(30))}" for _ in range(3)]
+    prints = [simhash.simhash(t) for t in texts]
+    assert all((prints[0] ^ p).bit_count() <= 2 for p in prints)
+    rows = [(7, texts[0]), (3, texts[1]), (5, texts[2]), (9, texts[0] + " end"), (11, "something else altogether here")]
+    assert brute_kept(rows) == [3, 5, 7, 11]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, source string").repartition(2)
+    got = corpus_pipeline.dedup_documents(spark, docs, sf)
+    assert got.columns == docs.columns
+    assert sorted(r["doc_id"] for r in got.collect()) == [3, 11]
