@@ -245,3 +245,45 @@ def test_targets_of_a_giant_among_many_sources(spark):
     total = 200_000 * 10_000 + 10**13
     assert len(goal) == 200_001 and sum(r["target"] for r in goal) == pytest.approx(total)
     assert all(r["target"] <= 3 * r["source_size"] for r in goal)
+
+
+def test_line_dedup_frequent_words_are_no_lists(spark, monkeypatch):
+    """Lines that share frequent words without being similar do not meet; near copies still do."""
+    import random
+
+    monkeypatch.setattr(line_dedup, "COUNTED", 1)
+    monkeypatch.setattr(line_dedup, "RARE", 2)
+    monkeypatch.setattr(line_dedup, "FEW", 4)
+    monkeypatch.setattr(line_dedup, "PAIRED", 20)
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(300)]
+    base = [rng.sample(vocabulary, n) for n in [1, 2, 3, 4, 5, 12, 19, 20, 21, 24, 25, 26, 30, 70] * 4]
+    lines = []
+    for words in base:
+        lines.append(words)
+        for _ in range(4):
+            near = [w for w in words if rng.random() > 0.06] + [rng.choice(vocabulary) for _ in range(rng.randint(0, 3))]
+            rng.shuffle(near)
+            lines.append(near)
+    rng.shuffle(lines)
+    docs = [(i, "  ".join(words) + "\n" + "\t".join(reversed(words)) + "\r\n") for i, words in enumerate(lines)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(frame).collect())
+    assert got == brute_lines(docs)
+
+
+def test_line_dedup_unlike_lines_hardly_meet(spark, monkeypatch):
+    """Frequent words of unlike lines made lists whose pairs follow the square of the number of lines."""
+    import random
+
+    monkeypatch.setattr(line_dedup, "COUNTED", 1)
+    monkeypatch.setattr(line_dedup, "RARE", 2)
+    rng = random.Random(5)
+    unlike = [(i, " ".join(f"v{w}" for w in rng.sample(range(2000), 30))) for i in range(1500)]
+    frame = spark.createDataFrame(unlike, "doc_id bigint, text string")
+    table = line_dedup.rarity_table(frame)
+    sets = line_dedup.token_sets(line_dedup.lines(line_dedup.keyed(frame)), table)
+    met = "sum(count * (count - 1) / 2)"
+    keys = line_dedup.postings(sets, 0.8).groupBy("t").count().selectExpr(met).first()[0]
+    words = sets.select(F.explode(F.slice("s", 1, 7)).alias("t")).groupBy("t").count().selectExpr(met).first()[0]
+    assert keys < words / 8
