@@ -287,3 +287,24 @@ def test_line_dedup_unlike_lines_hardly_meet(spark, monkeypatch):
     keys = line_dedup.postings(sets, 0.8).groupBy("t").count().selectExpr(met).first()[0]
     words = sets.select(F.explode(F.slice("s", 1, 7)).alias("t")).groupBy("t").count().selectExpr(met).first()[0]
     assert keys < words / 8
+
+
+def test_rarity_is_counted_on_every_document(spark):
+    """Every token of every document has the level of its whole count, not of a share of the documents."""
+    from collections import Counter
+
+    import numpy as np
+
+    docs = [(i, f"common w{i % 50}\nv{i}\tw{i % 7} common") for i in range(400)] + [(900, None), (None, "lone  row")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    words = Counter(w for _, text in docs for w in (text or "").split())
+    named = spark.createDataFrame([(w,) for w in words], "w string")
+    bins = {r.w: r.b for r in named.select("w", F.xxhash64("w").bitwiseAND(F.lit(line_dedup.BINS - 1)).alias("b")).collect()}
+    counts = Counter()
+    for word, n in words.items():
+        counts[bins[word]] += n
+    levels = spark.range(1).select(line_dedup.rarity_table(frame).alias("levels")).first()["levels"]
+    expected = np.zeros(line_dedup.BINS, int)
+    for b, n in counts.items():
+        expected[b] = np.floor(np.log2(n) * 3) + 1
+    assert (np.array(levels) == expected).all()
