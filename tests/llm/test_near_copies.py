@@ -90,3 +90,17 @@ def test_fingerprints_link_documents(spark, sf):
     got = corpus_pipeline.dedup_documents(spark, docs, sf)
     assert got.columns == docs.columns
     assert sorted(r["doc_id"] for r in got.collect()) == [3, 11]
+
+
+def test_rarity_of_shingles_is_counted_on_every_text(spark):
+    """Every shingle of every text has the level of its whole count, not of a share of the texts."""
+    import numpy as np
+
+    rows = [(i, f"the same five words here w{i % 9} v{i}") for i in range(200)] + [(900, None), (901, "short")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    counts = np.zeros(near_copies.BINS, int)
+    for _, text in rows:
+        found = near_copies.shingle_set(text, 5) & np.uint64(near_copies.BINS - 1)
+        np.add.at(counts, found.astype(int), 1)
+    expected = np.where(counts > 0, np.floor(3 * np.log2(np.maximum(counts, 1)) + 1), 0)
+    assert (near_copies.rarity_table(frame, 5) == expected).all()
