@@ -172,7 +172,7 @@ def test_a_task_per_pair_of_blocks(spark):
     """Pairs of blocks are neither dealt to the same task by a hash nor merged for having few bytes."""
     from lodestream.operators import topk
 
-    vectors = spark.range(400).select(F.col("id").alias("qid"), F.array(F.sin("id"), F.cos("id")).alias("vec"))
-    cells = topk._cells(vectors, vectors.withColumnRenamed("qid", "cid"), 16, 2, 3, False)
+    queries, corpus = (spark.range(400).select(F.col("id").alias(name), F.array(F.sin("id"), F.cos("id")).alias("vec")) for name in ("qid", "cid"))
+    cells = topk._cells(queries, corpus, 16, 2, 3, False)
     placed = cells.select("qid", F.spark_partition_id().alias("p")).distinct().collect()
     assert len(placed) == 800 and len({r.p for r in placed}) == 32
